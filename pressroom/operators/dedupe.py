@@ -6,7 +6,9 @@ map task before the shuffle, so a group holding a third of all rows stays harmle
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from pressroom.functions import urls as U
 from pressroom.functions.text import blank_to_null
 from pressroom.operators.running import running
 from pressroom.schemas import RAWDATA_COLUMNS
-from pressroom.session import bounded_broadcast, plan_bytes
+from pressroom.session import bounded_broadcast
 
 
 def pick_first(df: DataFrame, keys: list, order: list, n: int = 1) -> DataFrame:
@@ -42,14 +44,14 @@ def source_domains(sources: DataFrame) -> DataFrame:
     )
 
 
-IN_ROW_LIMIT = 1024 * 1024
+IN_ROW_DOMAINS = 1000
+_CONFIG = "struct<lookup_order:struct<config_order:int,domain_pos:int>,config:struct<rule_set:string,source_id:bigint,source_name:string>>"
 
 
-def _config_in_row(df: DataFrame, domains: DataFrame) -> DataFrame:
-    """Look the suffixes of each host up in one map of configured domains; no row moves."""
-    lookup = domains.agg(
-        F.map_from_entries(F.collect_list(F.struct("domain", F.struct("lookup_order", "config")))).alias("m")
-    ).scalar()
+def _config_in_row(df: DataFrame, entries: list[Row]) -> DataFrame:
+    """Look the suffixes of each host up in a constant map of the configured domains; no row moves."""
+    as_json = json.dumps({e["domain"]: e.asDict(recursive=True) for e in entries})
+    lookup = F.from_json(F.lit(as_json), f"map<string,{_CONFIG}>")
     hits = F.transform(U.host_suffixes("_host"), lambda s: F.try_element_at(lookup, s))
     return df.withColumn("_config", F.array_min(hits)["config"])
 
@@ -66,7 +68,7 @@ def _config_by_join(df: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def resolve_source(
-    df: DataFrame, sources: DataFrame, url: str = "url", named: str | None = None, in_row_limit: int = IN_ROW_LIMIT
+    df: DataFrame, sources: DataFrame, url: str = "url", named: str | None = None, in_row_domains: int = IN_ROW_DOMAINS
 ) -> DataFrame:
     """Add ``rule_set``, ``source_id`` and ``source_name``: by name, else by domain, else generic.
 
@@ -84,8 +86,8 @@ def resolve_source(
         base = base.withColumns({"_n_key": F.lit(None).cast("string"), "_n_id": F.lit(None).cast("bigint"),
                                  "_n_name": F.lit(None).cast("string")})
     domains = source_domains(sources)
-    small = plan_bytes(sources.select("domains")) <= in_row_limit
-    found = (_config_in_row if small else _config_by_join)(base, domains)
+    entries = domains.limit(in_row_domains + 1).collect()
+    found = _config_in_row(base, entries) if len(entries) <= in_row_domains else _config_by_join(base, domains)
     inferred = U.infer_source_name(url)
     if named:
         inferred = F.coalesce(blank_to_null(F.col(named)), inferred)
