@@ -99,3 +99,25 @@ def write_artifacts(rows: DataFrame, path: str, html: str = "html") -> None:
         *partitions, "raw_object_key", "url_hash", "crawl_id", "raw_content_hash", F.col(html).alias("html")
     ).write.mode("append").option("compression", "zstd").partitionBy(*partitions).parquet(f"{path.rstrip('/')}/raw")
     out.drop(html, "raw_html_path", "source_name").write.mode("append").partitionBy(*partitions).parquet(f"{path.rstrip('/')}/metadata")
+
+
+def read_metadata_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Sidecars compacted to one document per line: the form to keep millions of them in.
+
+    Reads like ``read_metadata``; the path column is left out, as many documents share a file.
+    """
+    documents = spark.read.text(path).select(F.col("value").alias("json")).withColumn("readable", F.try_parse_json("json").isNotNull())
+    objects = documents.filter(~F.col("readable") | F.schema_of_variant(F.try_parse_json("json")).startswith("OBJECT"))
+    return compatible_view(objects)
+
+
+
+def read_metadata_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", f"{path.rstrip('/')}/metadata").parquet(f"{path.rstrip('/')}/metadata")
+
+
+def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
+    """Objects of the columnar store: key, hash of the stored bytes and size."""
+    stored = spark.read.parquet(f"{path.rstrip('/')}/raw")
+    return stored.select("raw_object_key", content_hash("html").alias("content_hash"),
+                         F.octet_length("html").cast("bigint").alias("size_bytes"))
