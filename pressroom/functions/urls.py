@@ -54,9 +54,25 @@ def _groups(text: Column, pattern: str, n: int) -> Column:
     return F.split(F.regexp_replace(text, pattern, _GAP.join(f"${i + 1}" for i in range(n))), _GAP)
 
 
+# Blanks of Unicode, and the control characters that may precede a URL.
+UNICODE_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+CONTROLS = "".join(chr(i) for i in range(0x21))
+
+
+def strip_blanks(text: Column | str) -> Column:
+    """Strip Unicode blanks at both ends."""
+    return F.btrim(col(text), F.lit(UNICODE_BLANKS))
+
+
 def trimmed(url: Column | str) -> Column:
-    """Strip Unicode blanks at both ends and line breaks anywhere."""
-    return F.regexp_replace(col(url), r"(?U)^[\s\x00-\x1f]+|[\s\x1c-\x1f]+$|[\t\r\n]", "")
+    """Strip blanks at both ends, control characters in front, and line breaks anywhere."""
+    out = F.ltrim(strip_blanks(url), F.lit(CONTROLS))
+    for char in "\t\r\n":
+        out = F.replace(out, F.lit(char), F.lit(""))
+    return out
 
 
 class UrlParts:
@@ -96,8 +112,16 @@ def _encoded(text: Column) -> Column:
     return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
-def clean_query(query: Column, dropped: list[str]) -> Column:
-    """Drop tracking parameters, keep order and blank values, re-encode the rest."""
+# A query of plain name=value pairs, which decoding and encoding would leave as it is.
+_PLAIN_QUERY = r"^[A-Za-z0-9_.~-]*=[A-Za-z0-9_.~-]*(?:&[A-Za-z0-9_.~-]*=[A-Za-z0-9_.~-]*)*$"
+
+
+def _clean_plain(query: Column, dropped: list[str]) -> Column:
+    tracked = "(?i)&(?:" + "|".join(dropped) + ")=[^&]*"
+    return F.substr(F.regexp_replace(F.concat(F.lit("&"), query), tracked, ""), F.lit(2))
+
+
+def _clean_any(query: Column, dropped: list[str]) -> Column:
     named = F.transform(
         F.filter(F.split(query, "&"), lambda p: p != ""),
         lambda p: F.struct(
@@ -106,8 +130,16 @@ def clean_query(query: Column, dropped: list[str]) -> Column:
         ),
     )
     kept = F.filter(named, lambda kv: ~F.lower(kv["k"]).isin(dropped))
-    text = F.array_join(F.transform(kept, lambda kv: F.concat(_encoded(kv["k"]), F.lit("="), _encoded(kv["v"]))), "&")
-    return F.when(query == "", F.lit("")).otherwise(text)
+    return F.array_join(F.transform(kept, lambda kv: F.concat(_encoded(kv["k"]), F.lit("="), _encoded(kv["v"]))), "&")
+
+
+def clean_query(query: Column, dropped: list[str]) -> Column:
+    """Drop tracking parameters, keep order and blank values, re-encode the rest."""
+    return (
+        F.when(query == "", F.lit(""))
+        .when(query.rlike(_PLAIN_QUERY), _clean_plain(query, dropped))
+        .otherwise(_clean_any(query, dropped))
+    )
 
 
 def _assemble(scheme_: Column, netloc_: Column, path_: Column, query: Column) -> Column:
@@ -120,9 +152,19 @@ def _assemble(scheme_: Column, netloc_: Column, path_: Column, query: Column) ->
     )
 
 
+# Lower-case host, a path, nothing else and only printable ASCII: both contracts leave such a URL as it is.
+_CANONICAL = r"^https?://[a-z0-9.-]+/[!\"$->@-~]*$"
+
+
+def _unless_canonical(url: Column | str, normalized: Column) -> Column:
+    return F.when(col(url).rlike(_CANONICAL), col(url)).otherwise(normalized)
+
+
 def normalize_v1(url: Column | str) -> Column:
     """Legacy key form: lower-case scheme, no fragment, seven tracking parameters dropped."""
-    return with_parts(url, lambda p: _assemble(p.scheme, p.netloc, p.path, clean_query(p.query, TRACKING_V1)))
+    return _unless_canonical(
+        url, with_parts(url, lambda p: _assemble(p.scheme, p.netloc, p.path, clean_query(p.query, TRACKING_V1)))
+    )
 
 
 class _Authority:
@@ -138,14 +180,17 @@ def _with_authority(netloc_: Column, body) -> Column:
     return let(_groups(netloc_, _AUTHORITY, 3), lambda g: body(_Authority(g)))
 
 
+def _is_bare_host(p: UrlParts) -> Column:
+    """No userinfo, port or brackets: nothing of the authority needs a closer look."""
+    return (p.netloc != "") & ~p.netloc.rlike(r"[@:\[\]]")
+
+
 def _valid(p: UrlParts) -> Column:
     bracket_free = ~p.netloc.contains("[") & ~p.netloc.contains("]")
-    return (
-        p.scheme.isin("http", "https")
-        & (p.netloc != "")
-        & (bracket_free | p.netloc.rlike(_IPV6_AUTHORITY))
-        & _with_authority(p.netloc, lambda a: (a.host != "") & ((a.port_text == "") | F.coalesce(a.port <= 65535, F.lit(False))))
+    closer_look = (bracket_free | p.netloc.rlike(_IPV6_AUTHORITY)) & _with_authority(
+        p.netloc, lambda a: (a.host != "") & ((a.port_text == "") | F.coalesce(a.port <= 65535, F.lit(False)))
     )
+    return p.scheme.isin("http", "https") & (_is_bare_host(p) | closer_look)
 
 
 def is_valid(url: Column | str) -> Column:
@@ -159,7 +204,7 @@ def _authority_text(p: UrlParts) -> Column:
         default_port = ((p.scheme == "http") & (a.port == 80)) | ((p.scheme == "https") & (a.port == 443))
         return F.when(a.port.isNull() | default_port, bracketed).otherwise(F.concat_ws(":", bracketed, a.port.cast("string")))
 
-    return _with_authority(p.netloc, text)
+    return F.when(_is_bare_host(p), F.lower(p.netloc)).otherwise(_with_authority(p.netloc, text))
 
 
 def normalize_v2(url: Column | str) -> Column:
@@ -169,7 +214,7 @@ def normalize_v2(url: Column | str) -> Column:
         rooted = F.when(p.path == "", F.lit("/")).otherwise(p.path)
         return F.when(_valid(p), _assemble(p.scheme, _authority_text(p), rooted, clean_query(p.query, TRACKING_V2)))
 
-    return with_parts(url, body)
+    return _unless_canonical(url, with_parts(url, body))
 
 
 def short_hash(text: Column | str) -> Column:
@@ -276,7 +321,7 @@ def url_join(base: Column | str, ref: Column | str) -> Column:
 
 def safe_source_name(name: Column | str) -> Column:
     """A source name usable as a folder name."""
-    cleaned = F.regexp_replace(F.regexp_replace(col(name), r"(?U)^\s+|\s+$", ""), "[^A-Za-z0-9_.-]+", "_")
+    cleaned = F.regexp_replace(strip_blanks(name), "[^A-Za-z0-9_.-]+", "_")
     return F.coalesce(F.nullif(cleaned, F.lit("")), F.lit("unknown"))
 
 

@@ -149,16 +149,31 @@ def classify_attempt(http_status: Column | str) -> Column:
 
 
 def _server_error_runs(attempts: DataFrame, source: str, bucket: Column, order: list[str]) -> DataFrame:
+    """Server errors since the latest reset, in two levels so that a hot source is not sorted in one task.
+
+    Inside a bucket two windows count; across buckets only one summary row per bucket is ordered.
+    """
     status = F.col("http_status")
     is_error = F.coalesce(status >= 500, F.lit(False))
     resets = ~is_error & ~F.coalesce(status == 429, F.lit(False))
-    b = ["_bucket"]
-    counted = running(attempts.withColumn("_bucket", bucket), [source], b, order,
-                      {"_errors": ("sum", F.when(is_error, 1).otherwise(0).cast("bigint"))})
-    # The error count at the latest reset is a running maximum, because the count never falls.
-    based = running(counted, [source], b, order, {"_base": ("max", F.when(resets, F.col("_errors")).otherwise(0).cast("bigint"))})
-    run = F.when(resets, F.lit(0)).otherwise(F.col("_errors") - F.col("_base")).cast("bigint")
-    return based.withColumn("server_error_run", run).drop("_errors", "_base", "_bucket")
+    inside = W.partitionBy(source, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    local = (
+        attempts.withColumn("_bucket", bucket)
+        .withColumn("_errors", F.sum(F.when(is_error, 1).otherwise(0)).over(inside))
+        # The count at the latest reset is a running maximum, because the count never falls.
+        .withColumn("_base", F.max(F.when(resets, F.col("_errors"))).over(inside))
+    )
+    before = W.partitionBy("_s").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    summary = (
+        local.groupBy(F.col(source).alias("_s"), F.col("_bucket").alias("_b"))
+        .agg(F.max("_errors").alias("_e"), F.max("_base").alias("_r"))
+        .withColumn("_sum", F.coalesce(F.sum("_e").over(before), F.lit(0)))
+        .withColumn("_carry", F.col("_sum") - F.coalesce(F.max(F.col("_sum") + F.col("_r")).over(before), F.lit(0)))
+        .select("_s", "_b", "_carry")
+    )
+    joined = local.join(summary, (F.col(source) == F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    run = F.when(F.col("_base").isNotNull(), F.col("_errors") - F.col("_base")).otherwise(F.col("_carry") + F.col("_errors"))
+    return joined.withColumn("server_error_run", run.cast("bigint")).drop("_errors", "_base", "_bucket", "_s", "_b", "_carry")
 
 
 def _trip_points(runs: DataFrame, source: str, order: list[str]) -> DataFrame:
@@ -189,18 +204,18 @@ def api_circuit_breaker(attempts: DataFrame, source: str = "source_name", order:
     ).drop("_s", "_cut")
 
 
-def api_pages(attempts: DataFrame, source: str = "source_name") -> DataFrame:
-    """Landed attempts reduced to one answer per page: the first success among its first three attempts."""
+def decisive_attempts(attempts: DataFrame, source: str = "source_name") -> DataFrame:
+    """The attempt that settles each page: the first stop or success among its first three.
+
+    A page with neither has failed and is left out. Meant for narrow rows: payloads have no business here.
+    """
     order = ["page", "attempt"]
-    # Payloads stay out of the breaker's shuffles.
-    narrow = attempts.select(source, *order, "http_status")
-    trips = _trip_points(_server_error_runs(narrow, source, F.floor(F.col("page") / PAGES_PER_BUCKET), order), source, order)
-    alive = attempts.join(trips, F.col(source) == F.col("_s"), "left").filter(
+    runs = _server_error_runs(attempts, source, F.floor(F.col("page") / PAGES_PER_BUCKET), order)
+    trips = _trip_points(runs.select(source, *order, "server_error_run"), source, order)
+    alive = runs.join(trips, F.col(source) == F.col("_s"), "left").filter(
         ~_after_trip(order) & (F.col("attempt") <= MAX_ATTEMPTS_PER_PAGE)
-    ).withColumn("_outcome", classify_attempt("http_status"))
-    # Retries aside, the first stop or success settles the page; a page with neither has failed.
-    decisive = pick_first(alive.filter(F.col("_outcome").isin("stop", "parse")), [source, "page"], ["attempt"])
-    return decisive.select(source, "page", F.when(F.col("_outcome") == "parse", F.col("payload")).alias("payload"))
+    ).withColumn("outcome", classify_attempt("http_status")).drop("_s", "_cut", "server_error_run")
+    return pick_first(alive.filter(F.col("outcome").isin("stop", "parse")), [source, "page"], ["attempt"])
 
 
 def _items(document: Column, data_path: Column) -> Column:
@@ -245,31 +260,34 @@ def _api_url(item: Column, mapping: Column) -> Column:
     return let(first, lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
 
 
+def _open_pages(settled: DataFrame) -> DataFrame:
+    """Pages before the first failed, empty or missing one of their source."""
+    bad = ~((F.col("outcome") == "parse") & F.coalesce(F.col("n_items") > 0, F.lit(False)))
+    counted = running(
+        settled.withColumn("_bucket", F.floor(F.col("page") / PAGES_PER_BUCKET)), ["source_name"], ["_bucket"], ["page"],
+        {"_seen": ("sum", F.lit(1).cast("bigint")), "_bad": ("sum", F.when(bad, 1).otherwise(0).cast("bigint"))},
+    )
+    within = F.col("page") <= F.coalesce("max_pages", "page")
+    return counted.filter((F.col("_bad") == 0) & (F.col("_seen") == F.col("page")) & within).select("source_name", "page", "attempt")
+
+
 def discover_api(attempts: DataFrame, sources: DataFrame, limit: int | None = None) -> DataFrame:
     """Articles of landed API answers; a source ends at its first failed or empty page.
 
     ``attempts`` has ``source_name, page, attempt, http_status, payload``; pages count from 1 and a missing
-    page number ends the source like a failed one.
+    page number ends the source like a failed one. Which pages count is decided on rows without payload; a
+    payload is shuffled once, by page.
     """
     config = bounded_broadcast(sources.select(F.lower("source_name").alias("_c"), "data_path", "field_mapping", "max_pages"))
-    pages = api_pages(attempts).join(config, F.lower("source_name") == F.col("_c"), "left")
-    listed = pages.select(
-        "source_name", "page", "field_mapping", "max_pages",
-        F.transform(
-            let(F.try_parse_json("payload"), lambda d: _items(d, F.col("data_path"))), lambda i: F.to_json(i)
-        ).alias("_list"),
-    )
-    # A source is open as long as no page was bad and none is missing before this one.
-    counted = running(
-        listed.withColumn("_bucket", F.floor(F.col("page") / PAGES_PER_BUCKET)), ["source_name"], ["_bucket"], ["page"],
-        {"_seen": ("sum", F.lit(1).cast("bigint")),
-         "_bad": ("sum", F.when(F.coalesce(F.size("_list") > 0, F.lit(False)), 0).otherwise(1).cast("bigint"))},
-    )
-    open_pages = counted.filter(
-        (F.col("_bad") == 0) & (F.col("_seen") == F.col("page")) & (F.col("page") <= F.coalesce("max_pages", "page"))
-    )
-    items = open_pages.select("source_name", "page", "field_mapping", F.posexplode("_list").alias("item_pos", "raw_metadata"))
-    items = items.withColumn("i", F.try_parse_json("raw_metadata"))
+    landed = attempts.join(config, F.lower("source_name") == F.col("_c"), "left").drop("_c")
+    found = let(F.try_parse_json("payload"), lambda d: _items(d, F.col("data_path")))
+    narrow = landed.select("source_name", "page", "attempt", "http_status", "max_pages", F.size(found).alias("n_items"))
+    wanted = _open_pages(decisive_attempts(narrow))
+    answers = landed.filter(classify_attempt("http_status") == "parse").select("source_name", "page", "attempt", "data_path", "field_mapping", "payload")
+    items = answers.join(wanted, ["source_name", "page", "attempt"]).select(
+        "source_name", "page", "field_mapping",
+        F.posexplode(F.transform(found, lambda i: F.to_json(i))).alias("item_pos", "raw_metadata"),
+    ).withColumn("i", F.try_parse_json("raw_metadata"))
     i, mapping = F.col("i"), F.col("field_mapping")
     keyed = (
         items.filter(F.schema_of_variant(i).startswith("OBJECT"))
@@ -357,7 +375,7 @@ def dry_run_listing(discovered: DataFrame) -> DataFrame:
 def parse_url_list(lists: DataFrame, list_id: str, urls: str) -> tuple[DataFrame, DataFrame]:
     """Comma-separated URL lists as (accepted, rejected): canonical URLs in first-seen order, and bad entries as text."""
     entries = lists.select(list_id, F.posexplode(F.split(urls, ",")).alias("entry_pos", "_raw")).withColumn(
-        "raw_url", F.regexp_replace("_raw", r"(?U)^\s+|\s+$", "")).filter(F.col("raw_url") != "").drop("_raw")
+        "raw_url", U.strip_blanks("_raw")).filter(F.col("raw_url") != "").drop("_raw")
     checked = entries.withColumn("url", U.normalize_v2("raw_url"))
     accepted = dedupe_first_wins(checked.filter(F.col("url").isNotNull()), ["entry_pos"], source=list_id)
     return accepted.select(list_id, "entry_pos", "url"), checked.filter(F.col("url").isNull()).select(list_id, "entry_pos", "raw_url")

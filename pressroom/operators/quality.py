@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.functions.text import blank_to_null
-from pressroom.functions.urls import col
+from pressroom.functions.urls import col, let
 from pressroom.schemas import METADATA_V2_FIELDS
 
 SHORT_CONTENT = 150
@@ -92,38 +92,59 @@ def _text(document: Column, field: str) -> Column:
     return F.try_variant_get(document, f"$.{field}", "string")
 
 
-def metadata_version(json: Column | str) -> Column:
-    """2 when declared, 1 when a legacy key is present, null otherwise. Works on the raw JSON text."""
-    document = F.try_parse_json(col(json))
-    keys = F.json_object_keys(col(json))
-    declared = _kind(document, "schema_version").isin("BIGINT", "DOUBLE") | _kind(document, "schema_version").startswith("DECIMAL")
+def _with_document(json: Column | str, body) -> Column:
+    """Bind the parsed document and the keys of a JSON text, so each is computed once per row.
+
+    The keys come from the text: a typed reader could not tell a null value from a missing key.
+    """
+    parsed = F.struct(F.try_parse_json(col(json)).alias("document"), F.json_object_keys(col(json)).alias("keys"))
+    return let(parsed, lambda p: body(p["document"], p["keys"]))
+
+
+def _version(document: Column, keys: Column) -> Column:
+    # Only a number can declare the version; text "2" does not.
+    declared = F.when(
+        let(_kind(document, "schema_version"), lambda k: k.isin("BIGINT", "DOUBLE") | k.startswith("DECIMAL")),
+        F.try_variant_get(document, "$.schema_version", "double") == 2,
+    )
     return (
-        F.when(declared & (F.try_variant_get(document, "$.schema_version", "double") == 2), F.lit(2))
+        F.when(declared, F.lit(2))
         .when(F.array_contains(keys, "raw_html_path") | F.array_contains(keys, "crawl_status"), F.lit(1))
         .cast("int")
     )
 
 
+def metadata_version(json: Column | str) -> Column:
+    """2 when declared, 1 when a legacy key is present, null otherwise. Works on the raw JSON text."""
+    return _with_document(json, _version)
+
+
 def metadata_error(json: Column | str, allow_legacy: bool = False) -> Column:
     """First broken rule of the metadata contract, null when the document is valid."""
-    document = F.try_parse_json(col(json))
-    version = metadata_version(json)
-    missing = F.array_except(F.array(*[F.lit(f) for f in METADATA_V2_FIELDS]), F.json_object_keys(col(json)))
-
-    def no_text(field: str) -> Column:
-        return ~F.coalesce((_kind(document, field) == "STRING") & (_text(document, field) != ""), F.lit(False))
-
-    checks = [
-        F.when(version == 1, F.lit("" if allow_legacy else "Legacy metadata v1 requires allow_legacy=True")),
-        F.when(version.isNull(), F.lit("Metadata must declare schema_version=2")),
-        F.when(F.size(missing) > 0, F.concat(F.lit("Metadata v2 is missing fields: "), F.array_join(missing, ", "))),
-        F.when(no_text("source"), F.lit("Metadata source must be a non-empty string")),
-        F.when(no_text("url"), F.lit("Metadata url must be a non-empty string")),
-        F.when(no_text("status"), F.lit("Metadata status must be a non-empty string")),
-        F.when(no_text("fetched_at"), F.lit("Metadata fetched_at must be an ISO timestamp")),
-        F.when(~_kind(document, "http_status").isin("BIGINT", "VOID"), F.lit("Metadata http_status must be an integer or null")),
-    ]
-    return blank_to_null(F.coalesce(*checks))
+    required = F.array(*[F.lit(f) for f in METADATA_V2_FIELDS])
+
+    def check(document: Column, keys: Column) -> Column:
+        def no_text(field: str) -> Column:
+            return ~F.coalesce((_kind(document, field) == "STRING") & (_text(document, field) != ""), F.lit(False))
+
+        def of_version_2(missing: Column) -> Column:
+            return (
+                F.when(F.size(missing) > 0, F.concat(F.lit("Metadata v2 is missing fields: "), F.array_join(missing, ", ")))
+                .when(no_text("source"), F.lit("Metadata source must be a non-empty string"))
+                .when(no_text("url"), F.lit("Metadata url must be a non-empty string"))
+                .when(no_text("status"), F.lit("Metadata status must be a non-empty string"))
+                .when(no_text("fetched_at"), F.lit("Metadata fetched_at must be an ISO timestamp"))
+                .when(~_kind(document, "http_status").isin("BIGINT", "VOID"), F.lit("Metadata http_status must be an integer or null"))
+            )
+
+        legacy = F.lit(None).cast("string") if allow_legacy else F.lit("Legacy metadata v1 requires allow_legacy=True")
+        return let(
+            _version(document, keys),
+            lambda v: F.when(v == 1, legacy).when(v == 2, let(F.array_except(required, keys), of_version_2))
+            .otherwise(F.lit("Metadata must declare schema_version=2")),
+        )
+
+    return _with_document(json, check)
 
 
 def validate_metadata(documents: DataFrame, json: str = "json", allow_legacy: bool = False) -> DataFrame:
@@ -135,19 +156,17 @@ def validate_metadata(documents: DataFrame, json: str = "json", allow_legacy: bo
 
 def compatible_view(documents: DataFrame, json: str = "json") -> DataFrame:
     """Read both metadata generations through the names of version 2."""
-    d = F.try_parse_json(F.col(json))
-
-    def either(new: str, old: str) -> Column:
-        return F.coalesce(blank_to_null(_text(d, new)), blank_to_null(_text(d, old)))
-
     plain = ["source", "url", "final_url", "title", "author", "published_at", "content", "thumbnail_url",
              "raw_payload_type", "raw_content_hash", "crawl_run_id", "error_type", "fetched_at"]
-    return documents.select(
-        "*",
-        metadata_version(json).alias("schema_version"),
-        *[_text(d, f).alias(f) for f in plain],
-        either("raw_object_key", "raw_html_path").alias("raw_object_key"),
-        either("status", "crawl_status").alias("status"),
-        either("error_message", "error").alias("error_message"),
-        F.try_variant_get(d, "$.http_status", "int").alias("http_status"),
-    )
+    either = {"raw_object_key": "raw_html_path", "status": "crawl_status", "error_message": "error"}
+
+    def fields(document: Column, keys: Column) -> Column:
+        return F.struct(
+            _version(document, keys).alias("schema_version"),
+            *[_text(document, f).alias(f) for f in plain],
+            *[F.coalesce(blank_to_null(_text(document, new)), blank_to_null(_text(document, old))).alias(new) for new, old in either.items()],
+            F.try_variant_get(document, "$.http_status", "int").alias("http_status"),
+        )
+
+    kept = [c for c in documents.columns if c not in {*plain, *either, "schema_version", "http_status"}]
+    return documents.withColumn("_m", _with_document(json, fields)).select(*kept, "_m.*")

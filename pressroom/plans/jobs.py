@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom.functions import urls as U
@@ -10,13 +10,12 @@ from pressroom.functions.text import blank_to_null
 from pressroom.operators import quality
 from pressroom.operators.dedupe import resolve_source, skip_any_artifact, skip_done_in_run
 from pressroom.operators.discover import discover_api, discover_listing, discover_rss, parse_url_list
-from pressroom.operators.extract import SCALAR_FIELDS, extract_articles, merge_discovery
+from pressroom.operators.extract import SCALAR_FIELDS, extract_articles
 from pressroom.operators.reconcile import reconcile_report
 from pressroom.operators.reports import SKIPPED, run_stats
 
 
-def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame, discovered: DataFrame | None = None,
-                   named: str | None = None) -> DataFrame:
+def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame, named: str | None = None) -> DataFrame:
     """Fetched pages to article rows with status, flags and error text; pages never leave their partition.
 
     ``pages``: ``url, final_url, html, http_status, error_kind, error, fetched_at``; missing ones count as null.
@@ -26,8 +25,6 @@ def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame
     landed = pages.withColumns(absent).withColumn("url", U.normalize_v1("url"))
     resolved = resolve_source(landed, sources, named=named).withColumn("_blank", quality.is_blank("html"))
     articles = extract_articles(resolved, source_rules)
-    if discovered is not None:
-        articles = merge_discovery(articles, discovered.select("url", *SCALAR_FIELDS))
     # A blank page is all the status needs to know about the HTML, which is gone by now.
     page_mark = F.when(F.col("_blank"), F.lit("")).otherwise("x")
     with_status = articles.withColumn("status", quality.crawl_status(page_mark, "content", "error_kind"))
@@ -56,21 +53,21 @@ def discover_all(feeds: DataFrame | None, api_attempts: DataFrame | None, listin
 
 def collect_news(discovered: DataFrame, artifacts: DataFrame, pages: DataFrame, sources: DataFrame, source_rules: DataFrame,
                  force: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(articles, statistics): skip what has an artifact, then extract the fetched pages of the rest.
+    """(articles, statistics): skip what has an artifact, then take the articles of the rest.
 
-    Key columns alone decide what is skipped; page bodies join afterwards. A discovered URL that was not
-    fetched counts as failed.
+    ``pages`` are the landed responses to earlier discoveries, with the ``source_name`` they were fetched for.
+    They are extracted where they lie; only keys and article fields are joined, never page bodies. A discovered
+    URL without a page counts as failed.
     """
+    keys = ["source_name", "url"]
     candidates = discovered.withColumn("url_hash", U.short_hash("url"))
     fresh = skip_any_artifact(candidates, artifacts, force)
-    wanted = fresh.select("url", F.col("source_name").alias("_wanted_by"))
-    bodies = pages.withColumn("url", U.normalize_v1("url")).join(wanted, "url").withColumnRenamed("_wanted_by", "source_name")
-    articles = crawl_articles(bodies, sources, source_rules, named="source_name")
-    keys = ["source_name", "url"]
-    hints = fresh.select(*keys, "discovery_method", *[F.col(f).alias(f"_hint_{f}") for f in SCALAR_FIELDS])
+    hints = fresh.select(*keys, "discovery_method", F.col("raw_metadata").alias("discovery_metadata"),
+                         *[F.col(f).alias(f"_hint_{f}") for f in SCALAR_FIELDS])
     filled = {f: F.coalesce(blank_to_null(f), blank_to_null(f"_hint_{f}")) for f in SCALAR_FIELDS}
-    articles = articles.join(hints, keys, "left").withColumns(filled).drop(*[f"_hint_{f}" for f in SCALAR_FIELDS])
-    done = articles.select(*keys, "status")
+    extracted = crawl_articles(pages, sources, source_rules, named="source_name")
+    articles = extracted.join(hints, keys).withColumns(filled).drop(*[f"_hint_{f}" for f in SCALAR_FIELDS])
+    done = extracted.select(*keys, "status")
     fetched = fresh.select(*keys).join(done, keys, "left").withColumn("status", F.coalesce("status", F.lit("UNKNOWN_ERROR")))
     skipped = candidates.select(*keys).join(fresh.select(*keys), keys, "left_anti").withColumn("status", F.lit(SKIPPED))
     return articles, run_stats(fetched.unionByName(skipped))
@@ -86,10 +83,9 @@ def scheduled_batch(url_lists: DataFrame, rawdata: DataFrame, pages: DataFrame,
     accepted, rejected = parse_url_list(url_lists, list_id, urls)
     runs = url_lists.select(list_id, "source_id")
     marked = skip_done_in_run(accepted.join(runs, list_id).withColumnRenamed(list_id, "crawl_run_id"), rawdata)
-    pending = marked.filter(F.col("action") == "PENDING").select("source_id", "crawl_run_id", "url")
-    bodies = pages.withColumn("url", U.normalize_v2("url"))
-    fetched = bodies.join(pending.select("url", "crawl_run_id", F.col("source_id").alias("run_source_id")), "url")
-    articles = crawl_articles(fetched, sources, source_rules).withColumn("source_id", F.col("run_source_id")).drop("run_source_id")
+    pending = marked.filter(F.col("action") == "PENDING").select("crawl_run_id", "url", F.col("source_id").alias("_run_source"))
+    extracted = crawl_articles(pages, sources, source_rules).withColumn("url", U.normalize_v2("url"))
+    articles = extracted.join(pending, "url").withColumn("source_id", F.col("_run_source")).drop("_run_source")
     done = articles.select("source_id", "crawl_run_id", "url", F.col("status").alias("_status"))
     outcomes = marked.join(done, ["source_id", "crawl_run_id", "url"], "left").withColumn(
         "status", F.when(F.col("action") == SKIPPED, F.lit(SKIPPED)).otherwise(F.coalesce("_status", F.lit("UNKNOWN_ERROR"))))
@@ -102,13 +98,19 @@ def reconcile_stored(spark: SparkSession, metadata: DataFrame, rows: DataFrame |
     return reconcile_report(metadata, rows, spark.read.parquet(work))
 
 
-def new_page_quality(pages: DataFrame, known: DataFrame, sources: DataFrame, source_rules: DataFrame, source: Column | None = None) -> DataFrame:
-    """Which pages are new, and which of them became good articles: statistics per source with a total row."""
-    keyed = pages.withColumn("url", U.normalize_v1("url")).withColumn("url_hash", U.short_hash("url"))
-    fresh = keyed.join(known.select("url_hash"), "url_hash", "left_anti")
-    articles = crawl_articles(fresh, sources, source_rules)
-    flagged = articles.withColumn("is_good", (F.col("status") == "SUCCESS") & ~F.array_contains("quality_flags", "short_content"))
-    return flagged.rollup("source_name").agg(
+def new_page_quality(pages: DataFrame, known: DataFrame, sources: DataFrame, source_rules: DataFrame) -> DataFrame:
+    """Which pages are new, and which of them became good articles: statistics per source with a total row.
+
+    Pages are judged first and compared with the known URL hashes afterwards: what is shuffled is a hash and a
+    verdict per page instead of its HTML.
+    """
+    articles = crawl_articles(pages, sources, source_rules)
+    verdicts = articles.select(
+        U.short_hash("url").alias("url_hash"), "source_name", "status", "paragraph_count",
+        ((F.col("status") == "SUCCESS") & ~F.array_contains("quality_flags", "short_content")).alias("is_good"),
+    )
+    fresh = verdicts.join(known.select("url_hash"), "url_hash", "left_anti")
+    return fresh.rollup("source_name").agg(
         F.count(F.lit(1)).alias("pages"),
         F.count_if(F.col("status") == "SUCCESS").alias("success"),
         F.count_if(F.col("status") != "SUCCESS").alias("failed"),
