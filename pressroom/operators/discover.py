@@ -12,7 +12,7 @@ from pressroom.functions.urls import let
 from pressroom.operators import dom
 from pressroom.operators.dedupe import dedupe_first_wins, limit_per_source, pick_first
 from pressroom.operators.running import running
-from pressroom.session import bounded_broadcast
+from pressroom.session import bounded_broadcast, materialize
 
 BLOCKED_FEED = [403, 429]
 MAX_ATTEMPTS_PER_PAGE = 3
@@ -275,16 +275,18 @@ def discover_api(attempts: DataFrame, sources: DataFrame, limit: int | None = No
     """Articles of landed API answers; a source ends at its first failed or empty page.
 
     ``attempts`` has ``source_name, page, attempt, http_status, payload``; pages count from 1 and a missing
-    page number ends the source like a failed one. Which pages count is decided on rows without payload; a
-    payload is shuffled once, by page.
+    page number ends the source like a failed one. Which pages count is decided on rows without payload, held in
+    an intermediate table; a payload is read twice and shuffled once, by page.
     """
     config = bounded_broadcast(sources.select(F.lower("source_name").alias("_c"), "data_path", "field_mapping", "max_pages"))
     landed = attempts.join(config, F.lower("source_name") == F.col("_c"), "left").drop("_c")
+    key = ["source_name", "page", "attempt"]
     found = let(F.try_parse_json("payload"), lambda d: _items(d, F.col("data_path")))
-    narrow = landed.select("source_name", "page", "attempt", "http_status", "max_pages", F.size(found).alias("n_items"))
-    wanted = _open_pages(decisive_attempts(narrow))
-    answers = landed.filter(classify_attempt("http_status") == "parse").select("source_name", "page", "attempt", "data_path", "field_mapping", "payload")
-    items = answers.join(wanted, ["source_name", "page", "attempt"]).select(
+    answers = landed.filter(classify_attempt("http_status") == "parse")
+    sizes = answers.select(*key, "max_pages", F.size(found).alias("n_items"))
+    settled = decisive_attempts(attempts.select(*key, "http_status")).join(sizes, key, "left")
+    wanted = _open_pages(materialize(settled))
+    items = answers.select(*key, "data_path", "field_mapping", "payload").join(wanted, key).select(
         "source_name", "page", "field_mapping",
         F.posexplode(F.transform(found, lambda i: F.to_json(i))).alias("item_pos", "raw_metadata"),
     ).withColumn("i", F.try_parse_json("raw_metadata"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.functions import urls as U
@@ -13,6 +13,7 @@ from pressroom.operators.discover import discover_api, discover_listing, discove
 from pressroom.operators.extract import SCALAR_FIELDS, extract_articles
 from pressroom.operators.reconcile import reconcile_report
 from pressroom.operators.reports import SKIPPED, run_stats
+from pressroom.session import materialize
 
 
 def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame, named: str | None = None) -> DataFrame:
@@ -52,12 +53,13 @@ def discover_all(feeds: DataFrame | None, api_attempts: DataFrame | None, listin
 
 
 def collect_news(discovered: DataFrame, artifacts: DataFrame, pages: DataFrame, sources: DataFrame, source_rules: DataFrame,
-                 force: bool = False) -> tuple[DataFrame, DataFrame]:
+                 force: bool = False, work: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(articles, statistics): skip what has an artifact, then take the articles of the rest.
 
     ``pages`` are the landed responses to earlier discoveries, with the ``source_name`` they were fetched for.
     They are extracted where they lie; only keys and article fields are joined, never page bodies. A discovered
-    URL without a page counts as failed.
+    URL without a page counts as failed. Pages are extracted once, into ``work`` or the checkpoint folder, because
+    articles and statistics both need the result.
     """
     keys = ["source_name", "url"]
     candidates = discovered.withColumn("url_hash", U.short_hash("url"))
@@ -65,7 +67,7 @@ def collect_news(discovered: DataFrame, artifacts: DataFrame, pages: DataFrame,
     hints = fresh.select(*keys, "discovery_method", F.col("raw_metadata").alias("discovery_metadata"),
                          *[F.col(f).alias(f"_hint_{f}") for f in SCALAR_FIELDS])
     filled = {f: F.coalesce(blank_to_null(f), blank_to_null(f"_hint_{f}")) for f in SCALAR_FIELDS}
-    extracted = crawl_articles(pages, sources, source_rules, named="source_name")
+    extracted = materialize(crawl_articles(pages, sources, source_rules, named="source_name"), work)
     articles = extracted.join(hints, keys).withColumns(filled).drop(*[f"_hint_{f}" for f in SCALAR_FIELDS])
     done = extracted.select(*keys, "status")
     fetched = fresh.select(*keys).join(done, keys, "left").withColumn("status", F.coalesce("status", F.lit("UNKNOWN_ERROR")))
@@ -74,7 +76,7 @@ def collect_news(discovered: DataFrame, artifacts: DataFrame, pages: DataFrame,
 
 
 def scheduled_batch(url_lists: DataFrame, rawdata: DataFrame, pages: DataFrame, sources: DataFrame, source_rules: DataFrame,
-                    list_id: str = "crawl_run_id", urls: str = "urls") -> tuple[DataFrame, DataFrame, DataFrame]:
+                    list_id: str = "crawl_run_id", urls: str = "urls", work: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(outcomes, articles, rejected URLs) of a run over configured URL lists.
 
     ``url_lists`` has the run id, ``source_id`` and the comma-separated list. URLs already crawled with success in
@@ -84,7 +86,7 @@ def scheduled_batch(url_lists: DataFrame, rawdata: DataFrame, pages: DataFrame,
     runs = url_lists.select(list_id, "source_id")
     marked = skip_done_in_run(accepted.join(runs, list_id).withColumnRenamed(list_id, "crawl_run_id"), rawdata)
     pending = marked.filter(F.col("action") == "PENDING").select("crawl_run_id", "url", F.col("source_id").alias("_run_source"))
-    extracted = crawl_articles(pages, sources, source_rules).withColumn("url", U.normalize_v2("url"))
+    extracted = materialize(crawl_articles(pages, sources, source_rules).withColumn("url", U.normalize_v2("url")), work)
     articles = extracted.join(pending, "url").withColumn("source_id", F.col("_run_source")).drop("_run_source")
     done = articles.select("source_id", "crawl_run_id", "url", F.col("status").alias("_status"))
     outcomes = marked.join(done, ["source_id", "crawl_run_id", "url"], "left").withColumn(
@@ -92,10 +94,15 @@ def scheduled_batch(url_lists: DataFrame, rawdata: DataFrame, pages: DataFrame,
     return outcomes.drop("_status", "action"), articles, rejected
 
 
-def reconcile_stored(spark: SparkSession, metadata: DataFrame, rows: DataFrame | None, raw_files: DataFrame, work: str) -> DataFrame:
-    """Reconcile with every object read and hashed exactly once: the hashes are written to ``work`` first."""
-    raw_files.select("raw_object_key", "content_hash").write.mode("overwrite").parquet(work)
-    return reconcile_report(metadata, rows, spark.read.parquet(work))
+def reconcile_stored(metadata: DataFrame, rows: DataFrame | None, raw_files: DataFrame, work: str | None = None) -> DataFrame:
+    """Reconcile with every sidecar parsed and every object read and hashed exactly once.
+
+    The few columns the checks need are written out first; the seven checks read those.
+    """
+    facts = metadata.select("metadata_path", "readable", "schema_version", "raw_object_key", "raw_content_hash")
+    sidecars = materialize(facts, work and f"{work}/sidecars")
+    objects = materialize(raw_files.select("raw_object_key", "content_hash"), work and f"{work}/objects")
+    return reconcile_report(sidecars, rows, objects)
 
 
 def new_page_quality(pages: DataFrame, known: DataFrame, sources: DataFrame, source_rules: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write an intermediate table and read it back, where several later steps would each compute it anew.
+
+    The table lies in the shared checkpoint folder, so a lost executor costs nothing but a re-read. Its size is
+    known afterwards, which lets Spark pick the joins it feeds.
+    """
+    spark = df.sparkSession
+    folder = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Upper estimate of a DataFrame's size by the optimizer."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

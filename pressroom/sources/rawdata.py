@@ -9,6 +9,7 @@ from pressroom.functions.ids import uuid5_url
 from pressroom.functions.text import blank_to_null
 from pressroom.operators.dedupe import assign_ids, upsert_rawdata
 from pressroom.schemas import RAWDATA, RAWDATA_COLUMNS
+from pressroom.session import materialize
 
 RECONCILE_COLUMNS = ["id", "source_id", "url", "raw_object_key", "raw_content_hash", "status", "crawl_run_id"]
 
@@ -83,9 +84,10 @@ def merge_into_storage(spark: SparkSession, incoming: DataFrame, table: str, sta
     """Upsert a batch into the stored table, rewriting only the runs the batch touches.
 
     The merged runs are written to ``staging`` first and copied from there, so a job that dies half-way is
-    simply run again: a finished staging folder is reused instead of merging twice.
+    simply run again: a finished staging folder is reused instead of merging twice. Rows of one run are spread
+    by URL, so a run that holds most of the table does not end in one writer.
     """
-    if not _exists(spark, f"{staging}/_SUCCESS"):
+    if not _exists(spark, f"{staging}/numbered/_SUCCESS"):
         batch = incoming.select(*RAWDATA_COLUMNS)
         if _exists(spark, table):
             stored = read_rawdata(spark, table)
@@ -93,7 +95,8 @@ def merge_into_storage(spark: SparkSession, incoming: DataFrame, table: str, sta
             merged = upsert_rawdata(stored.join(touched, "crawl_run_id", "left_semi"), batch)
             start = F.coalesce(stored.agg(F.max("id")).scalar(), F.lit(0))
         else:
-            merged, start = upsert_rawdata(batch.limit(0), batch), 0
-        assign_ids(merged, start).write.mode("overwrite").parquet(staging)
-    spark.read.schema(RAWDATA).parquet(staging).repartition("crawl_run_id", F.pmod(F.xxhash64("url"), F.lit(16))).write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("crawl_run_id").parquet(table)
+            merged, start = upsert_rawdata(batch.filter(F.lit(False)), batch), 0
+        assign_ids(materialize(merged, f"{staging}/merged"), start).write.mode("overwrite").parquet(f"{staging}/numbered")
+    numbered = spark.read.schema(RAWDATA).parquet(f"{staging}/numbered")
+    numbered.repartition("crawl_run_id", F.pmod(F.xxhash64("url"), F.lit(16))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("crawl_run_id").parquet(table)

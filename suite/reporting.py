@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pressroom.functions import urls as U
 from pressroom.operators import reconcile, reports
+from pressroom.plans import jobs
 from suite import query
 from suite.views import LOG, crawl_log, stamp, stamp_sql, table
 
@@ -120,6 +121,12 @@ def reconcile_summary(spark, sf_dir):
     return reconcile.report_summary(reconcile.reconcile_report(*_store(spark, sf_dir)))
 
 
+@query("e3_reconcile_stored", f"with {_STORE} select category, {_FINDING} from findings")
+def reconcile_stored(spark, sf_dir):
+    """The whole job: sidecars and object hashes are staged once, then checked."""
+    return jobs.reconcile_stored(*_store(spark, sf_dir)).select("category", "metadata_path", "raw_object_key", "database_id", "actual")
+
+
 @query("a13_notebook_summary", f"""with {LOG} select url, status, case when status = 'SUCCESS' then props end as title, length(props) as content_chars, cast(null as varchar) as raw_object_key,
   list_filter(['url', 'status', case when status = 'SUCCESS' then 'title' end, 'content'], lambda x: x is not null) as metadata_fields from log""")
 def record_summary(spark, sf_dir):
