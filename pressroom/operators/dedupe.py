@@ -153,10 +153,11 @@ def skip_done_in_run(candidates: DataFrame, rawdata: DataFrame) -> DataFrame:
     Keys are ``source_id``, ``crawl_run_id`` and ``url``; of several rows the lowest id is reported.
     """
     keys = ["source_id", "crawl_run_id", "url"]
-    done = rawdata.filter(F.col("status") == "SUCCESS").groupBy(*keys).agg(F.min("id").alias("existing_id"))
+    done = rawdata.filter(F.col("status") == "SUCCESS").groupBy(*keys).agg(
+        F.min("id").alias("existing_id"), F.lit(True).alias("_done"))
     return candidates.join(done, keys, "left").withColumn(
-        "action", F.when(F.col("existing_id").isNotNull(), F.lit("SKIPPED_EXISTING")).otherwise(F.lit("PENDING"))
-    )
+        "action", F.when(F.col("_done"), F.lit("SKIPPED_EXISTING")).otherwise(F.lit("PENDING"))
+    ).drop("_done")
 
 
 RUN_KEY = ["source_id", "crawl_run_id", "url"]

@@ -15,7 +15,8 @@ RECONCILE_COLUMNS = ["id", "source_id", "url", "raw_object_key", "raw_content_ha
 
 
 def read_rawdata(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAWDATA).parquet(path)
+    """The stored table in its declared column order, whatever columns it is partitioned by."""
+    return spark.read.schema(RAWDATA).parquet(path).select(*RAWDATA_COLUMNS)
 
 
 def reconcile_columns(rawdata: DataFrame) -> DataFrame:
