@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pressroom.functions import urls as U
 from pressroom.functions.text import blank_to_null
-from pressroom.operators.running import running
+from pressroom.operators.running import balanced_buckets, running
 from pressroom.schemas import RAWDATA_COLUMNS
 from pressroom.session import bounded_broadcast
 
@@ -25,9 +25,22 @@ def pick_first(df: DataFrame, keys: list, order: list, n: int = 1) -> DataFrame:
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
-def limit_per_source(df: DataFrame, order: list, limit: int | None, source: str = "source_name") -> DataFrame:
-    """At most ``limit`` rows per source; 0 or None means no limit."""
-    return pick_first(df, [source], order, limit) if limit else df
+# Up to this n, Spark keeps the first n rows of a group in every map task (its default threshold).
+GROUP_LIMIT = 1000
+
+
+def limit_per_source(df: DataFrame, order: list[str], limit: int | None, source: str = "source_name") -> DataFrame:
+    """At most ``limit`` rows per source; 0 or None means no limit.
+
+    A limit too large to be applied before the shuffle is counted in buckets, not by sorting a whole source.
+    """
+    if not limit:
+        return df
+    if limit <= GROUP_LIMIT:
+        return pick_first(df, [source], order, limit)
+    cut = balanced_buckets(df, [source], order)
+    counted = running(cut, [source], ["_bucket"], order, {"_n": ("sum", F.lit(1).cast("bigint"))})
+    return counted.filter(F.col("_n") <= limit).drop("_n", "_bucket")
 
 
 def source_domains(sources: DataFrame) -> DataFrame:

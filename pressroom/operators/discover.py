@@ -360,8 +360,9 @@ def select_sources(sources: DataFrame, name: str | None = None, channel_type: st
     return sources.filter(F.col("channel_type") == channel_type)
 
 
-def dry_run_listing(discovered: DataFrame) -> DataFrame:
-    """Numbered preview per source. Meant for limited discovery results."""
+def dry_run_listing(discovered: DataFrame, limit: int = 10) -> DataFrame:
+    """Numbered preview of the first ``limit`` finds per source."""
+    discovered = limit_per_source(discovered, ["position"], limit)
     number = F.row_number().over(W.partitionBy("source_name").orderBy("position"))
     summary = T.blank_to_null("summary")
     return discovered.select(

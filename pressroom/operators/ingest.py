@@ -10,7 +10,7 @@ from pressroom.functions import urls as U
 from pressroom.functions.text import blank_to_null, clean_text
 from pressroom.operators.dedupe import pick_first
 from pressroom.operators.reports import rate
-from pressroom.operators.running import running
+from pressroom.operators.running import balanced_buckets, running
 
 # Outcomes worth another attempt, and outcomes that are final.
 RETRYABLE_STATUS = [429, 500, 502, 503, 504]
@@ -187,12 +187,13 @@ def politeness_schedule(queue: DataFrame, delays: DataFrame, start: Column, doma
                         bucket: Column | None = None, default_delay: float = 1.0) -> DataFrame:
     """Earliest fetch time per queued URL: one request per domain and delay, domains independent of each other.
 
-    A hot domain is numbered in buckets, so its queue never has to fit one task. ``bucket`` must rise with the order.
+    A hot domain is numbered in buckets, so its queue never has to fit one task. Buckets are balanced pieces of the
+    queue unless a ``bucket`` that rises with the order is given.
     """
     order = order or ["queued_at", "url"]
-    bucket = F.date_trunc("minute", F.col(order[0])) if bucket is None else bucket
+    cut = balanced_buckets(queue, [domain], order) if bucket is None else queue.withColumn("_bucket", bucket)
     policy = delays.select(F.col("domain").alias("_d"), "min_delay_seconds")
-    numbered = running(queue.withColumn("_bucket", bucket), [domain], ["_bucket"], order, {"slot": ("sum", F.lit(1).cast("bigint"))})
+    numbered = running(cut, [domain], ["_bucket"], order, {"slot": ("sum", F.lit(1).cast("bigint"))})
     delay = F.coalesce("min_delay_seconds", F.lit(default_delay)).cast("double")
     offset = ((F.col("slot") - 1) * delay * 1_000_000).cast("bigint")
     return numbered.join(policy, F.col(domain) == F.col("_d"), "left").withColumn(

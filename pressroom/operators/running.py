@@ -11,9 +11,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pressroom.session import materialize
+
 _COMBINE = {"sum": F.sum, "max": F.max}
 
 
+def balanced_buckets(df: DataFrame, keys: list[str], order: list[str], name: str = "_bucket") -> DataFrame:
+    """Number the pieces of a range partitioning by keys and order, for use as the bucket of ``running``.
+
+    Pieces hold about the same number of rows however the keys are distributed: a hot group, or a hot moment
+    in it, is cut along the order columns. The numbered rows are written out, since a second sampling could cut
+    elsewhere.
+    """
+    return materialize(df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id()))
+
+
 def running(
     df: DataFrame,
     keys: list[str],

@@ -88,17 +88,17 @@ def artifact_rows(articles: DataFrame, zone: str = "UTC", html: str = "html") ->
 def write_artifacts(rows: DataFrame, path: str, html: str = "html") -> None:
     """Write payloads and metadata as two tables partitioned by source and date.
 
-    HTML is compressed inside the columnar file. Rows of a hot source are spread by URL hash before the
-    write, so a third of all rows in one source does not end in one writer.
+    HTML is compressed inside the columnar file. Rebalancing gathers a source and day into files of a good size
+    and splits the ones that are too large, so a source with a third of all rows does not end in one writer.
     """
     partitions = ["source", "yyyy", "mm", "dd"]
-    base = rows.withColumn("source", ids.safe_source_name("source"))
-    spread = base.withColumn("_spread", F.pmod(F.xxhash64("url_hash"), F.lit(32)))
-    out = spread.repartition(*partitions, "_spread").drop("_spread")
-    out.filter(F.col("raw_object_key").isNotNull()).select(
-        *partitions, "raw_object_key", "url_hash", "crawl_id", "raw_content_hash", F.col(html).alias("html")
-    ).write.mode("append").option("compression", "zstd").partitionBy(*partitions).parquet(f"{path.rstrip('/')}/raw")
-    out.drop(html, "raw_html_path", "source_name").write.mode("append").partitionBy(*partitions).parquet(f"{path.rstrip('/')}/metadata")
+    out = rows.withColumn("source", ids.safe_source_name("source"))
+    payloads = out.filter(F.col("raw_object_key").isNotNull()).select(
+        *partitions, "raw_object_key", "url_hash", "crawl_id", "raw_content_hash", F.col(html).alias("html"))
+    payloads.hint("rebalance", *partitions).write.mode("append").option("compression", "zstd").partitionBy(*partitions).parquet(
+        f"{path.rstrip('/')}/raw")
+    out.drop(html, "raw_html_path", "source_name").hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(
+        f"{path.rstrip('/')}/metadata")
 
 
 def read_metadata_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -85,8 +85,8 @@ def merge_into_storage(spark: SparkSession, incoming: DataFrame, table: str, sta
     """Upsert a batch into the stored table, rewriting only the runs the batch touches.
 
     The merged runs are written to ``staging`` first and copied from there, so a job that dies half-way is
-    simply run again: a finished staging folder is reused instead of merging twice. Rows of one run are spread
-    by URL, so a run that holds most of the table does not end in one writer.
+    simply run again: a finished staging folder is reused instead of merging twice. Rebalancing splits a run that
+    holds most of the rows over several writers.
     """
     if not _exists(spark, f"{staging}/numbered/_SUCCESS"):
         batch = incoming.select(*RAWDATA_COLUMNS)
@@ -99,5 +99,5 @@ def merge_into_storage(spark: SparkSession, incoming: DataFrame, table: str, sta
             merged, start = upsert_rawdata(batch.filter(F.lit(False)), batch), 0
         assign_ids(materialize(merged, f"{staging}/merged"), start).write.mode("overwrite").parquet(f"{staging}/numbered")
     numbered = spark.read.schema(RAWDATA).parquet(f"{staging}/numbered")
-    numbered.repartition("crawl_run_id", F.pmod(F.xxhash64("url"), F.lit(16))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("crawl_run_id").parquet(table)
+    numbered.hint("rebalance", "crawl_run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "crawl_run_id").parquet(table)

@@ -275,11 +275,9 @@ def select_sources(spark, sf_dir):
     case when doc_id % 3 = 0 then 'Không tiêu đề' else concat('Doc ', doc_id) end as title, concat('https://e.com/', doc_id) as url,
     concat(substr(text, 1, 120), '...') as summary from q where nr <= 5""")
 def dry_run(spark, sf_dir):
-    from pressroom.operators.dedupe import limit_per_source
-
     i = F.col("doc_id")
     found = documents(spark, sf_dir).select(
         F.col("source").alias("source_name"), F.when(i % 2 == 1, F.concat(F.lit("day "), i)).alias("published_at"),
         F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("Doc "), i)).alias("title"), F.concat(F.lit("https://e.com/"), i).alias("url"),
         F.col("text").alias("summary"), F.array(i).alias("position"))
-    return discover.dry_run_listing(limit_per_source(found, ["position"], 5))
+    return discover.dry_run_listing(found, 5)

@@ -69,12 +69,29 @@ def test_top_k_and_success_filter_push_down(spark):
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,SUCCESS)" in plan(dedupe.known_success(stored, ["url"]))
 
 
-def test_running_totals_have_no_single_partition(spark):
-    queue = views.crawl_log(spark, SF).select(F.lit("d").alias("domain"), F.col("fetched_at").alias("queued_at"), "url", "id")
+def test_hot_domain_is_cut_along_its_queue(spark):
+    """All rows share one domain and one moment, and still spread over buckets of similar size."""
+    from pressroom.operators.running import balanced_buckets
+
+    queue = views.crawl_log(spark, SF).select(F.lit("d").alias("domain"), F.lit("2024-01-01").cast("timestamp").alias("queued_at"), "id")
+    # Left on, this setting would merge pieces as small as these.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = balanced_buckets(queue.repartition(6), ["domain"], ["queued_at", "id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in cut.groupBy("_bucket").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
     delays = spark.createDataFrame([("d", 2.0)], "domain string, min_delay_seconds double")
-    p = plan(ingest.politeness_schedule(queue, delays, F.lit("2024-01-01").cast("timestamp"), order=["queued_at", "id"]))
-    assert "SinglePartition" not in p
-    assert any("_bucket" in line for line in exchanges(p))
+    plan_rows = ingest.politeness_schedule(queue, delays, F.lit("2024-01-01").cast("timestamp"), order=["queued_at", "id"]).orderBy("id").collect()
+    assert [r.slot for r in plan_rows] == list(range(1, len(plan_rows) + 1))
+    assert (plan_rows[10].planned_at - plan_rows[0].planned_at).total_seconds() == 20
+
+
+def test_large_limits_are_exact(spark):
+    rows = views.crawl_log(spark, SF).select(F.lit("s").alias("source_name"), "id").crossJoin(spark.range(3).withColumnRenamed("id", "k")).repartition(5)
+    kept = dedupe.limit_per_source(rows, ["id", "k"], 1500).collect()
+    assert len(kept) == 1500 and sorted((r.id, r.k) for r in kept)[-1] == (499, 2)
 
 
 def test_broadcast_is_asked_for_only_under_the_limit(spark):
