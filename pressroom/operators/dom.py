@@ -9,8 +9,9 @@ lists the positions of every tag, class and id, so a selector looks at candidate
 
 from __future__ import annotations
 
+import re
 import sys
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -33,6 +34,8 @@ CODE = "#code"  # text of script, style and template: never part of an element's
 # HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CODE_ELEMENTS = frozenset("script style template".split())
+RAW_TEXT = frozenset("script style xmp iframe noembed noframes".split())  # no markup, no entities inside
+PLAIN_TEXT = frozenset("title textarea".split())  # no markup inside
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split()
@@ -95,105 +98,130 @@ class _NodeLists:
         return pa.StructArray.from_arrays([nodes, index], names=["nodes", "index"], mask=pa.array(missing, pa.bool_()))
 
 
-class _Tokenizer(HTMLParser):
-    """Appends the nodes of one page to shared lists."""
+# A comment, an end tag, a start tag (values quoted after '=' may hold '>'), a start tag the page breaks off in, or
+# another declaration. Possessive repeats keep the search linear in the length of the page.
+_MARKUP = re.compile(
+    r"""<(?:!--.*?(?:-->|\Z)"""
+    r"""|/([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"""
+    r"""|([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+)>"""
+    r"""|[a-zA-Z][^>]*+(?:>|\Z)"""
+    r"""|[!?/][^>]*+(?:>|\Z))""",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s/=>][^\s/=>]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
+
+
+class _Page:
+    """Appends the nodes of one page to the shared lists, closing what HTML leaves open."""
 
     def __init__(self, out: _NodeLists):
-        super().__init__(convert_charrefs=True)
         self.out = out
         self.base = len(out.pos)
         self.open: list[tuple[str, int]] = []
-        self.pending: list[str] = []
+        self.n_open: dict[str, int] = {}  # spares deep pages the walk up when nothing is there to close
         self.index: dict[str, list[int]] = {}
 
-    def _note(self, key, index):
-        self.index.setdefault(key, []).append(index - self.base)
-
-    def _add(self, tag, attrs, text):
+    def add(self, tag: str, attributes: str, text: str | None) -> int:
         out = self.out
-        index = len(out.pos)
-        out.pos.append(index - self.base)
-        out.last.append(index - self.base)
+        node = len(out.pos)
+        pos = node - self.base
+        out.pos.append(pos)
+        out.last.append(pos)
         out.parent.append(self.open[-1][1] - self.base if self.open else None)
         out.tag.append(tag)
         out.text.append(text)
-        ident = None
-        if attrs:
-            seen = set()
-            for key, value in attrs:
-                if key in seen:
-                    continue
-                seen.add(key)
-                value = value or ""
-                if key == "id":
-                    ident = value
-                    self._note("#" + value, index)
-                elif key == "class":
-                    names = value.split()
-                    out.classes.extend(names)
-                    for name in dict.fromkeys(names):
-                        self._note("." + name, index)
-                out.attr_keys.append(key)
-                out.attr_values.append(value)
-        out.id.append(ident)
+        out.id.append(self.add_attributes(attributes, pos) if attributes else None)
         out.class_starts.append(len(out.classes))
         out.attr_starts.append(len(out.attr_keys))
-        return index
-
-    def _flush(self):
-        if self.pending:
-            text = "".join(self.pending).strip()
-            self.pending.clear()
-            if text:
-                inside = self.open[-1][0] if self.open else ""
-                self._add(CODE if inside in CODE_ELEMENTS else TEXT, None, text)
+        return node
+
+    def add_attributes(self, attributes: str, pos: int) -> str | None:
+        out, seen, ident = self.out, set(), None
+        for key, double, single, bare in _ATTRIBUTE.findall(attributes):
+            key = key.lower()
+            if key in seen:
+                continue
+            seen.add(key)
+            value = double or single or bare
+            if "&" in value:
+                value = unescape(value)
+            out.attr_keys.append(key)
+            out.attr_values.append(value)
+            if key == "id":
+                ident = value
+                self.index.setdefault("#" + value, []).append(pos)
+            elif key == "class":
+                names = value.split()
+                out.classes.extend(names)
+                for name in dict.fromkeys(names):
+                    self.index.setdefault("." + name, []).append(pos)
+        return ident
+
+    def add_text(self, text: str, raw: bool = False) -> None:
+        if not raw and "&" in text:
+            text = unescape(text)
+        text = text.strip()
+        if text:
+            inside = self.open[-1][0] if self.open else ""
+            self.add(CODE if inside in CODE_ELEMENTS else TEXT, "", text)
 
-    def _close_to(self, depth):
+    def close_to(self, depth: int) -> None:
         end = len(self.out.pos) - 1 - self.base
-        for _, index in self.open[depth:]:
-            self.out.last[index] = end
+        for tag, node in self.open[depth:]:
+            self.out.last[node] = end
+            self.n_open[tag] -= 1
         del self.open[depth:]
 
-    def _close_within(self, tags, scope):
+    def close_within(self, tags, scope) -> None:
+        if not any(self.n_open.get(tag) for tag in tags):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             name = self.open[depth][0]
             if name in tags:
-                self._close_to(depth)
+                self.close_to(depth)
                 return
             if name in scope:
                 return
 
-    def handle_starttag(self, tag, attrs):
-        self._flush()
+    def start(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_PARAGRAPH:
-            self._close_within({"p"}, PARAGRAPH_SCOPE)
+            self.close_within(("p",), PARAGRAPH_SCOPE)
         if tag in IMPLIED_END:
-            self._close_within(*IMPLIED_END[tag])
-        index = self._add(tag, attrs, None)
-        self._note(tag, index)
+            self.close_within(*IMPLIED_END[tag])
+        node = self.add(tag, attributes, None)
+        self.index.setdefault(tag, []).append(node - self.base)
         if tag not in VOID:
-            self.open.append((tag, index))
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+            self.open.append((tag, node))
+            self.n_open[tag] = self.n_open.get(tag, 0) + 1
 
-    def handle_endtag(self, tag):
-        self._flush()
+    def end(self, tag: str) -> None:
+        if not self.n_open.get(tag):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
-                self._close_to(depth)
+                self.close_to(depth)
                 return
 
-    def handle_data(self, data):
-        self.pending.append(data)
-
-    def handle_comment(self, data):
-        self._flush()
-
-    def finish(self):
-        self.close()
-        self._flush()
-        self._close_to(0)
+    def read(self, html: str) -> None:
+        at, search = 0, _MARKUP.search
+        while (found := search(html, at)) is not None:
+            if found.start() > at:
+                self.add_text(html[at : found.start()])
+            at = found.end()
+            end_tag, tag, attributes = found.groups()
+            if end_tag:
+                self.end(end_tag.lower())
+                continue
+            if tag:
+                tag = tag.lower()
+                self.start(tag, attributes)
+                if tag in RAW_TEXT or tag in PLAIN_TEXT:
+                    stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
+                    until = stop.start() if stop else len(html)
+                    self.add_text(html[at:until], raw=tag in RAW_TEXT)
+                    at = until
+        self.add_text(html[at:])
+        self.close_to(0)
 
 
 def _tokenize(html: pa.Array) -> pa.Array:
@@ -202,10 +230,9 @@ def _tokenize(html: pa.Array) -> pa.Array:
     for value in html:
         text = value.as_py()
         missing.append(text is None)
-        page = _Tokenizer(out)
+        page = _Page(out)
         if text:
-            page.feed(text)
-            page.finish()
+            page.read(text)
         out.end_row(page.index)
     return out.to_arrow(missing)
 

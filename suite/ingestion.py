@@ -11,7 +11,7 @@ from pressroom.operators.extract import extract_articles
 from pressroom.sources.config import builtin_rules
 from suite import query
 from suite.articles import H1, PARAGRAPHS, generic
-from suite.views import LOG, PAGE_BASE, clean_sql, crawl_log, documents, page_base, pages, stamp, table
+from suite.views import LOG, PAGE_BASE, clean_sql, crawl_log, documents, page_base, pages, spread, stamp, table
 
 
 @query("b1_crawl_items_upsert", f"""with {LOG} select source_id, url as normalized_url, strftime(min(fetched_at), '%Y-%m-%d %H:%M:%S.%f') as first_discovered_at,
@@ -19,7 +19,7 @@ from suite.views import LOG, PAGE_BASE, clean_sql, crawl_log, documents, page_ba
   arg_max(status, fetched_at) as status, arg_max(crawl_run_id, fetched_at) as last_crawl_run_id from log group by source_id, url""")
 def crawl_items(spark, sf_dir):
     """The second half of the month arrives over items built from the first half."""
-    seen = crawl_log(spark, sf_dir).select(
+    seen = spread(crawl_log(spark, sf_dir)).select(
         "source_id", F.concat("url", F.lit("?_ga=1")).alias("url"), F.col("fetched_at").alias("seen_at"), "crawl_run_id",
         (F.col("status") != "EMPTY_HTML").alias("attempted"), "status", F.lit(None).cast("string").alias("error_type"), F.col("props").alias("error_message"))
     empty = spark.createDataFrame([], "source_id bigint, normalized_url string, first_discovered_at timestamp, last_discovered_at timestamp, attempt_count bigint, "

@@ -173,3 +173,28 @@ def test_result_does_not_depend_on_partitioning(spark):
     one = extract.extract_articles(pages.coalesce(1), builtin_rules(spark)).orderBy("page_id").collect()
     many = extract.extract_articles(pages.repartition(8), builtin_rules(spark)).orderBy("page_id").collect()
     assert one == many
+
+
+def texts_and_tags(spark, html):
+    nodes = dom.page_nodes(spark.createDataFrame([(1, html)], "page_id int, html string")).orderBy("node_id").collect()
+    return [(n.tag, n.text, dict(n.attrs)) for n in nodes]
+
+
+def test_markup_corner_cases(spark):
+    html = ('<title>a <b> &amp; c</title>a &lt b < c<IMG SRC="x>y" data-n=1 data-n=2 Alt=\'q"q\'/><!-- <p> --><a href=u/v?w=1&amp;z>k</a>'
+            "<i title=it's>e</i><?php x ?></none><textarea><p>&lt;</textarea><script>a < b && '</p>'</script><p hid")
+    assert texts_and_tags(spark, html) == [
+        ("title", None, {}), ("#text", "a <b> & c", {}), ("#text", "a < b < c", {}), ("img", None, {"src": "x>y", "data-n": "1", "alt": 'q"q'}),
+        ("a", None, {"href": "u/v?w=1&z"}), ("#text", "k", {}), ("i", None, {"title": "it's"}), ("#text", "e", {}),
+        ("textarea", None, {}), ("#text", "<p><", {}), ("script", None, {}), ("#code", "a < b && '</p>'", {})]
+
+
+@pytest.mark.parametrize("piece, times", [('<a x="', 20000), ("<", 50000), ("<!--", 20000), ("<div>", 20000), ("<p><b>", 10000), ("<script>", 5000), ("<a b='", 20000)])
+def test_hostile_pages_take_linear_time(piece, times):
+    import time
+
+    import pyarrow as pa
+
+    start = time.perf_counter()
+    dom._tokenize(pa.array([piece * times]))
+    assert time.perf_counter() - start < 3
