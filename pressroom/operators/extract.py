@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from pressroom.functions.text import blank_to_null, clean_text
 from pressroom.functions.urls import let
 from pressroom.operators import dom
 from pressroom.operators.quality import quality_flags
+from pressroom.schemas import ARTICLES
 from pressroom.session import bounded_broadcast
 
 SCALAR_FIELDS = ["title", "author", "published_at", "thumbnail_url"]
@@ -233,6 +237,14 @@ def extract_articles(
     return final.withColumn("quality_flags", quality_flags())
 
 
+def custom_articles(pages: DataFrame, parser: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], html: str = "html") -> DataFrame:
+    """Articles from a parser of one's own, for sources that no rule set fits.
+
+    ``parser`` maps batches of ``url, html`` to batches in the columns of ``schemas.ARTICLES``.
+    """
+    return pages.select("url", F.col(html).alias("html")).mapInPandas(parser, ARTICLES)
+
+
 def merge_discovery(articles: DataFrame, discovered: DataFrame, on: list[str] | str = "url") -> DataFrame:
     """Fill missing title, date, author and thumbnail from discovery; ``discovered`` has one row per key."""
     keys = [on] if isinstance(on, str) else on

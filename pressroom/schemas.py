@@ -14,7 +14,7 @@ FEED_PAYLOADS = "source_name string, feed_pos int, feed_url string, http_status
 API_ATTEMPTS = "source_name string, page int, attempt int, http_status int, payload string"
 LISTING_PAGES = "source_name string, listing_pos int, listing_url string, http_status int, html string"
 FETCHED_PAGES = (
-    "url string, final_url string, html string, http_status int, fetch_method string, error_kind string, "
+    "source_name string, url string, final_url string, html string, http_status int, fetch_method string, error_kind string, "
     "error string, fetched_at timestamp"
 )
 
@@ -23,6 +23,11 @@ DISCOVERED = (
     "thumbnail_url string, discovery_method string, raw_metadata string, position array<bigint>"
 )
 
+ARTICLES = (
+    "url string, title string, author string, published_at string, content string, thumbnail_url string, "
+    "canonical_url string, quality_flags array<string>"
+)
+
 # Keys of metadata version 2, in contract order.
 METADATA_V2_FIELDS = [
     "schema_version", "source", "url", "final_url", "title", "author", "published_at", "content",

@@ -198,3 +198,15 @@ def test_hostile_pages_take_linear_time(piece, times):
     start = time.perf_counter()
     dom._tokenize(pa.array([piece * times]))
     assert time.perf_counter() - start < 3
+
+
+def test_custom_parser(spark):
+    def parser(batches):
+        for batch in batches:
+            yield batch.assign(title=batch["html"].str.upper(), author=None, published_at=None, content=batch["html"], thumbnail_url=None,
+                               canonical_url=None, quality_flags=[["custom"]] * len(batch))[
+                ["url", "title", "author", "published_at", "content", "thumbnail_url", "canonical_url", "quality_flags"]]
+
+    pages = spark.createDataFrame([("u1", "a"), ("u2", "b")], "url string, html string")
+    got = extract.custom_articles(pages, parser).orderBy("url").collect()
+    assert [(r.url, r.title, r.quality_flags) for r in got] == [("u1", "A", ["custom"]), ("u2", "B", ["custom"])]
