@@ -74,6 +74,22 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[at[0] : at[-1]], at - at[0]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool) -> np.ndarray:
+    """Hash of data[start:end] for ascending spans that don't overlap."""
+    hashes = np.empty(len(start), U64)
+    table = _BYTE_FOLDED if fold else _BYTE_EXACT
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + WINDOW, "right")))
+        low, high = int(start[a]), int(end[b - 1])
+        sums = np.zeros(high - low + 1, U64)
+        np.cumsum(table[data[low:high]] * _powers(_BASE, high - low), out=sums[1:])
+        s, e = start[a:b] - low, end[a:b] - low
+        hashes[a:b] = mix((sums[e] - sums[s]) * _powers(_BASE_INVERSE, high - low)[s] + (e - s).astype(U64))
+        a = b
+    return hashes
+
+
 def split_words(column: pa.Array | pa.ChunkedArray, fold: bool = True) -> Words:
     """Words of every text; ``fold`` hashes ASCII capitals as small letters."""
     data, at = text_bytes(column)
@@ -86,18 +102,7 @@ def split_words(column: pa.Array | pa.ChunkedArray, fold: bool = True) -> Words:
     first[heads] = inside[heads]
     last[tails] = inside[tails]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = np.empty(len(start), U64)
-    table = _BYTE_FOLDED if fold else _BYTE_EXACT
-    a = 0
-    while a < len(start):
-        b = max(a + 1, int(np.searchsorted(end, start[a] + WINDOW, "right")))
-        low, high = int(start[a]), int(end[b - 1])
-        sums = np.zeros(high - low + 1, U64)
-        np.cumsum(table[data[low:high]] * _powers(_BASE, high - low), out=sums[1:])
-        s, e = start[a:b] - low, end[a:b] - low
-        hashes[a:b] = mix((sums[e] - sums[s]) * _powers(_BASE_INVERSE, high - low)[s] + (e - s).astype(U64))
-        a = b
-    return Words(data, start, end, hashes, np.searchsorted(start, at).astype(np.int64))
+    return Words(data, start, end, span_hashes(data, start, end, fold), np.searchsorted(start, at).astype(np.int64))
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
