@@ -4,11 +4,12 @@ A document is the set of its word shingles. Equal sets form a class, and one row
 positions of 16 bits. The first 64 are cut into 14 chunks: if two signatures differ in at most 27 of them, then by the
 pigeonhole principle some chunk differs in at most one position, so leaving out each position of a chunk in turn makes an index
 key that both share. Every pair within that distance is found. At a similarity of 0.8 a pair lies beyond it, or beyond 45 of all
-128 positions, once in about 40,000 cases.
+128 positions, once in about 40,000 cases. A longer sketch used in the
+last round adds another such chance.
 
-Only links between different components matter for the groups, so they are confirmed in three rounds: with the first
-document of each index group, with the nearest few, and then all that is left between different components. The last
-round has no bound on partners; the first two only make it small. Links are confirmed on the full sets.
+Only links between different components matter for the groups, so they are confirmed in rounds: with the first
+document of each index group, with the nearest one of another component (a few times over), and then with all that are left in other
+components. The last round has no bound on partners; the others only make it small. Links are confirmed on the full sets.
 
 Rows with a null, empty or blank text have no set and are linked with nothing. A row with a null doc_id takes part in no group
 (null component, kept). Repeated rows are one class; a doc_id is taken to be one document. No texts give no rows.
@@ -31,11 +32,15 @@ from pressroom.session import bounded_broadcast, materialize
 
 POSITIONS, INDEXED, CHUNKS = 128, 64, 14
 INDEX_DISTANCE, DISTANCE = 2 * CHUNKS - 1, 45
+#: A longer sketch of 8-bit positions tells, in the last round, which pairs of other components are worth a look at their full sets.
+SKETCH, SKETCH_DISTANCE = 512, 141
 #: Members of an index group that one piece of work compares with as many others; larger groups are cut.
 BLOCK = 1024
-NEAREST = 4
+#: Rounds that take the nearest partner only, before the one that takes all.
+NEAREST_ROUNDS = 3
 
 _SEEDS = constants(7, POSITIONS)
+_SKETCH_SEEDS = constants(9, SKETCH)
 _CHUNK = np.array_split(np.arange(INDEXED), CHUNKS)
 _KEY_SEEDS = constants(8, INDEXED)
 
@@ -51,6 +56,10 @@ def _sets(n: int, column: str) -> Callable[[pa.RecordBatch], Iterator[tuple[np.n
     return each
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def set_features(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set and signature (both null for an empty set)."""
 
@@ -75,9 +84,7 @@ def set_features(docs: DataFrame, n: int) -> DataFrame:
                 ["doc_id", "n_shingles", "digest", "signature"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, digest binary, signature binary"
-    )
+    return _texts(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, signature binary")
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
@@ -99,6 +106,22 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "key bigint, id bigint")
 
 
+def sketches(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, sketch) of the documents with the given ids; one row an id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for values, bounds, at in _sets(n, "text")(batch):
+                filled = np.flatnonzero(np.diff(bounds))
+                if len(filled):
+                    low = [(np.minimum.reduceat(values * s, bounds[:-1][filled]) & U64(0xFF)).astype(np.uint8) for s in _SKETCH_SEEDS]
+                    rows = [r.tobytes() for r in np.stack(low, 1)]
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(filled + at)), pa.array(rows, pa.binary())], ["id", "sketch"])
+
+    texts = _texts(docs).join(bounded_broadcast(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
+    return texts.mapInArrow(run, "id bigint, sketch binary").dropDuplicates(["id"])
+
+
 def within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Distance of signatures over all positions, or more than any allowed where the indexed ones differ too much."""
     differ = x != y
@@ -116,38 +139,44 @@ def signature_distance(a, b):
     return pd.Series(within(x, y).astype(np.int32))
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, nearest: int | None) -> DataFrame:
-    """Distinct pairs of an index group that lie in different components and within the distance.
+def mixed_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, component, blocks): members of the index groups that span several components."""
+    at = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    ends = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    return at.join(ends.where("low != high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
+
 
-    ``nearest`` keeps that many partners of each member in each piece of a group; None keeps all. A large group is cut into blocks, and
-    each pair of blocks is a piece of its own.
+def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Distinct pairs of an index group that lie in different components, within the distance, and near enough in size.
+
+    ``traits`` has signature and n_shingles of each id, and sketch where all partners are asked for; ``nearest`` keeps one partner
+    of each member in each piece of a group. A large group is cut into blocks, and each pair of blocks is a piece of its own.
     """
-    component = F.coalesce("component", "id")
-    at = members.join(labels, "id", "left").select("key", "id", component.alias("component"))
-    mixed = (
-        at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .where("low != high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = at.join(mixed, "key").select("key", "id", "component", "blocks", block.alias("own"))
+    placed = groups.select("key", "id", "component", "blocks", block.alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = placed.select("key", "id", "component", "own", other.alias("other")).select(
         "key", "id", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     )
-    rows = placed.join(classes.select("id", "signature"), "id").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    rows = placed.join(traits, "id").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
 
-    def of_piece(ids, components, own, signatures, x, y):
+    def of_piece(part, x, y):
+        ids, components, own, sizes, signatures = (part[c] for c in ("id", "component", "own", "n_shingles", "signature"))
         left, right = (np.flatnonzero(own == x), np.flatnonzero(own == y)) if x != y else (np.arange(len(ids)),) * 2
         out = []
         for low in range(0, len(left), 64):
             i = left[low : low + 64]
             far = within(signatures[i][:, None], signatures[right][None])
-            far[components[i][:, None] == components[right][None]] = POSITIONS + 1
-            allowed = far <= DISTANCE
-            if nearest is not None and len(right) > nearest:
-                kth = np.partition(far, nearest - 1, axis=1)[:, nearest - 1 : nearest]
-                allowed &= far <= kth
-            p, q = np.nonzero(allowed)
+            small, large = np.minimum(sizes[i][:, None], sizes[right]), np.maximum(sizes[i][:, None], sizes[right])
+            far[(components[i][:, None] == components[right]) | (100 * small < percent * large)] = POSITIONS + 1
+            if nearest:
+                p = np.arange(len(i))
+                q = far.argmin(axis=1)
+                p, q = p[far[p, q] <= DISTANCE], q[far[p, q] <= DISTANCE]
+            else:
+                p, q = np.nonzero(far <= DISTANCE)
+                sure = (part["sketch"][i[p]] != part["sketch"][right[q]]).sum(axis=1) <= SKETCH_DISTANCE
+                p, q = p[sure], q[sure]
             out.append(np.stack([ids[i[p]], ids[right[q]]], 1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return np.unique(np.sort(pairs, axis=1), axis=0)
@@ -156,14 +185,15 @@ def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, neare
         waiting: list[pa.RecordBatch] = []
 
         def done(table: pa.Table) -> pa.RecordBatch:
-            cols = {c: table.column(c).to_numpy() for c in ("key", "id", "component", "own", "x", "y")}
-            signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+            cols = {c: table.column(c).to_numpy() for c in ("key", "id", "component", "own", "x", "y", "n_shingles")}
+            cols["signature"] = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+            if not nearest:
+                cols["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
             change = np.flatnonzero(np.diff(cols["key"]) | np.diff(cols["x"]) | np.diff(cols["y"])) + 1
             found = [np.zeros((0, 2), np.int64)]
             for a, b in zip([0, *change], [*change, table.num_rows], strict=True):
                 if b - a > 1:
-                    part = slice(a, b)
-                    found.append(of_piece(cols["id"][part], cols["component"][part], cols["own"][part], signatures[part], cols["x"][a], cols["y"][a]))
+                    found.append(of_piece({c: v[a:b] for c, v in cols.items()}, cols["x"][a], cols["y"][a]))
             pairs = np.concatenate(found)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -188,10 +218,8 @@ def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, neare
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough: 100 * |a and b| >= percent * |a or b|."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        bounded_broadcast(ids), "doc_id", "left_semi"
-    )
+    ids = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    texts = _texts(docs).join(bounded_broadcast(ids), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +244,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, per
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept, one row per document.
 
+    ``percent`` is 80 or more: the distances are those of such pairs.
     Links join documents with 100 * |intersection| >= percent * |union| of their sets of ``words``-word shingles.
     """
+    if percent < 80:
+        raise ValueError("the index finds pairs of 80 percent and more")
     features = materialize(set_features(docs, words))
     classes = materialize(
         features.where("digest is not null and doc_id is not null").groupBy("digest")
@@ -236,14 +267,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     edges = materialize(confirmed(tested, docs, classes, words, percent))
     labels = connected_components(edges)
 
-    for nearest in (NEAREST, None):
-        more = materialize(cross_pairs(members, classes, labels, nearest).join(tested, ["a", "b"], "left_anti"))
+    traits = classes.select("id", "signature", "n_shingles")
+    for nearest in (*[True] * NEAREST_ROUNDS, False):
+        groups = materialize(mixed_groups(members, labels))
+        if not nearest:
+            traits = traits.join(sketches(docs, materialize(groups.select("id").distinct()), words), "id")
+        more = materialize(cross_pairs(groups, traits, percent, nearest).join(tested, ["a", "b"], "left_anti"))
         if more.isEmpty():
             continue
         tested = tested.unionByName(more)
         found = materialize(confirmed(more, docs, classes, words, percent))
-        edges = edges.unionByName(found)
         if not found.isEmpty():
+            edges = edges.unionByName(found)
             labels = connected_components(edges)
 
     of_class = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
