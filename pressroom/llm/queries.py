@@ -17,6 +17,7 @@ from pressroom.llm.mixing import mix
 from pressroom.llm.neardup import near_duplicates
 from pressroom.llm.token_file import read_ids, write_ids
 from pressroom.llm.tokens import DEFAULT_TOKENIZER, tokenizer_path
+from pressroom.llm.toxicity import scored, train
 from pressroom.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +139,12 @@ def op4(spark, sf_dir):
 @query("op8_seeded_alignment")
 def op8(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_factorization_machine")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    rows = scored(docs, model, ["doc_id"])
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
