@@ -15,6 +15,7 @@ from pressroom.llm.hilbert import hilbert_shards
 from pressroom.llm.lengths import length_histogram
 from pressroom.llm.mixing import mix
 from pressroom.llm.neardup import near_duplicates
+from pressroom.llm.ppm import score_documents
 from pressroom.llm.token_file import read_ids, write_ids
 from pressroom.llm.tokens import DEFAULT_TOKENIZER, tokenizer_path
 from pressroom.llm.toxicity import scored, train
@@ -148,3 +149,10 @@ def op6(spark, sf_dir):
     model = train(docs, table(spark, sf_dir, "labels"), ~held_out)
     rows = scored(docs, model, ["doc_id"])
     return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op5_ppm")
+def op5(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    scores = score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -26,9 +26,9 @@ from pressroom.session import bounded_broadcast, materialize
 #: Documents of each label that are learned from, at most: those with the smallest hash of their id.
 PER_LABEL = 6000
 PREFIXES = (4, 5, 6)
-FACTORS, EPOCHS, RATE, DECAY, SEED = 4, 40, 0.15, 1e-4, 5
+FACTORS, EPOCHS, RATE, DECAY, SEED = 4, 200, 0.15, 1e-4, 5
 #: A term needs so many documents of the sample, and so large a deviation (in standard errors) from the share of the label.
-LEAST_DOCS, LEAST_Z = 3, 4.0
+LEAST_DOCS, LEAST_Z = 3, 5.0
 _LUT_BITS = 22
 
 
@@ -88,7 +88,7 @@ def select_terms(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray) -> np.
 
 
 def fit(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray) -> Model:
-    """Factorization machine on distinct (text, term) pairs ordered by text; the labels weigh alike in sum."""
+    """Factorization machine on distinct (text, term) pairs ordered by text; a rarer label weighs more, by the root of its rarity."""
     none = np.zeros(0)
     if len(set(labels.tolist())) < 2:
         share = float(labels.mean()) if len(labels) else 0.0
@@ -97,7 +97,7 @@ def fit(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray) -> Model:
     keep = np.isin(terms, known)
     rows, at = rows[keep], np.searchsorted(known, terms[keep])
     n = len(labels)
-    balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
+    balance = np.where(labels == 1, np.sqrt(n / labels.sum()), np.sqrt(n / (1 - labels).sum())) / n
     rng = np.random.default_rng(SEED)
     bias, weights, factors = 0.0, np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS))
     seen = np.zeros((len(known), FACTORS + 1)) + 1e-8
