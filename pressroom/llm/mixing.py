@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.llm.ordering import with_positions
-from pressroom.session import bounded_broadcast
+from pressroom.session import bounded_broadcast, materialize
 
 #: 13 hex digits: 52 bits, exact in a double.
 HEX, STEPS = 13, float(1 << 52)
@@ -65,26 +65,34 @@ def source_rates(docs: DataFrame, by: str = "source", size: Column | None = None
     return given.crossJoin(F.broadcast(sums)).select("source", "n_docs", "size", weight.alias("weight"), rate.alias("rate"))  # one row of sums
 
 
-def replicate(
-    docs: DataFrame, rates: DataFrame, seed: str = "mix", by: str = "source", max_rate: float | None = None
-) -> DataFrame:
-    """Every document as often as its draw says, with ``copy`` from 1. ``max_rate`` bounds the means themselves, if given."""
-    rate = F.col("rate") if max_rate is None else F.least(F.col("rate"), F.lit(float(max_rate)))
-    steps = rates.select(F.col("source").alias("_source"), poisson_steps(rate).alias("_steps"))
-    drawn = docs.drop("copy", "position").join(bounded_broadcast(steps), F.col(by).eqNullSafe(F.col("_source")), "left")
+def replicate(docs: DataFrame, rates: DataFrame, seed: str = "mix", by: str = "source", copy: str = "copy") -> DataFrame:
+    """Every document as often as its draw says, numbered from 1 in the column named by ``copy``."""
+    steps = materialize(rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate")).alias("_steps")))
+    drawn = docs.drop(copy).join(bounded_broadcast(steps), F.col(by).eqNullSafe(F.col("_source")), "left")
     u = unit_hash(seed, F.col("doc_id"))
     copies = F.size(F.filter("_steps", lambda c: c <= u))
     drawn = drawn.withColumn("_copies", copies).where("_copies > 0").drop("_source", "_steps")
-    return drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    return drawn.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
 
 
-def shuffled(copies: DataFrame, seed: str = "mix") -> DataFrame:
-    """Rows in a random order over the whole table: ``position`` counts from 0 without gaps, in the order of a hash."""
-    keyed = copies.withColumn("_at", unit_hash(f"{seed}-order", F.col("doc_id"), F.col("copy")))
-    keyed = keyed.withColumn("_tie", F.xxhash64(*[c for c in copies.columns]))
-    return with_positions(keyed, ["_at", "doc_id", "copy", "_tie"]).drop("_at", "_tie")
+_ORDER = ["_at", "doc_id", "_tie"]
+
+
+def _keyed(copies: DataFrame, seed: str, copy: str) -> DataFrame:
+    at = unit_hash(f"{seed}-order", F.col("doc_id"), F.col(copy))
+    return copies.withColumns({"_at": at, "_tie": F.xxhash64(copy, *[c for c in copies.columns if c != copy])})
+
+
+def shuffled(copies: DataFrame, seed: str = "mix", copy: str = "copy") -> DataFrame:
+    """The rows dealt to partitions and sorted in a random order over the whole table, that of a hash, ready to be written."""
+    return _keyed(copies, seed, copy).repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER).drop("_at", "_tie")
+
+
+def numbered(copies: DataFrame, seed: str = "mix") -> DataFrame:
+    """The rows of ``shuffled`` with their place in that order, ``position`` from 0 without gaps."""
+    return with_positions(_keyed(copies.drop("position"), seed, "copy"), _ORDER).drop("_at", "_tie")
 
 
 def mix(docs: DataFrame, by: str = "source", size: Column | None = None, weights: Mapping[str | None, float] | None = None, seed: str = "mix") -> DataFrame:
     """Documents mixed to the target weights and shuffled: their columns, ``copy`` and ``position``."""
-    return shuffled(replicate(docs, source_rates(docs, by, size, weights), seed, by), seed)
+    return numbered(replicate(docs, source_rates(docs, by, size, weights), seed, by), seed)
