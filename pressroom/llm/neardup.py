@@ -287,3 +287,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         (F.col("doc_id").isNull() | (component == F.col("doc_id"))).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document, with its columns, of each group of near duplicates: the one with the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays; rows without doc_id all stay.
+    """
+    groups = near_duplicates(docs, words, percent).where("kept and doc_id is not null")
+    kept = materialize(groups.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
+    same = F.col("doc_id").cast("bigint") == F.col("_kept")
+    single = docs.join(bounded_broadcast(kept.where("_rows = 1").select("_kept")), same, "left_semi")
+    repeated = docs.join(bounded_broadcast(kept.where("_rows > 1").select("_kept")), same, "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(repeated).unionByName(docs.where("doc_id is null"))

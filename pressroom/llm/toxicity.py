@@ -152,17 +152,18 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
         return pa.table({"bias": [m.bias], "terms": pa.array([m.terms.tobytes()], pa.binary()), "weights": pa.array([m.weights.tobytes()], pa.binary()), "factors": pa.array([m.factors.tobytes()], pa.binary())})
 
     packed = rows.mapInArrow(features, "doc_id bigint, toxic int, terms binary").dropDuplicates(["doc_id"])
-    found = packed.groupBy(F.lit(1)).applyInArrow(learned, model_schema).collect()  # one row, from the bounded sample
+    together = packed.withColumn("sample", F.lit(1)).groupBy("sample")
+    found = together.applyInArrow(learned, model_schema).collect()  # one row, from the bounded sample
     if not found:
         return fit(np.zeros(0, int), np.zeros(0, U64), np.zeros(0))
     m = found[0]
     return Model(m["bias"], np.frombuffer(m["terms"], U64), np.frombuffer(m["weights"]), np.frombuffer(m["factors"]).reshape(-1, FACTORS))
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row, and ``score``: the model's probability that the text is toxic."""
+def scored(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns ``keep`` of every row, and the model's probability that the text is toxic."""
     narrow = docs.select(F.col("text").cast("string").alias("_text"), *keep)
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in narrow.dtypes if n != "_text"), "score double"])
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in narrow.dtypes if n != "_text"), f"`{name}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,6 +171,6 @@ def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 owner, terms = document_terms(piece.column("_text"), model.terms)
                 score = model.score(owner, terms, piece.num_rows)
                 columns = [piece.column(c) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], [*keep, name])
 
     return narrow.mapInArrow(run, schema)
