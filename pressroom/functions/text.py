@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,50 +31,49 @@ def content_length(value: Column | str) -> Column:
     return F.coalesce(F.char_length(col(value)), F.lit(0)).cast("bigint")
 
 
-# Named entities that occur in feed summaries.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&copy;": "©", "&reg;": "®", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&middot;": "·",
-    "&amp;": "&",
-}
+#: Named entities of HTML with their closing semicolon, as one map literal.
+_NAMED = json.dumps({f"&{name}": text for name, text in html5.items() if name.endswith(";")})
+_ENTITY = r"&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);"
 
 
 def _glyph(piece: Column) -> Column:
-    """The character of one numeric entity; an illegal number becomes the replacement character."""
-    digits = F.regexp_extract(piece, r"&#[xX]?([0-9A-Fa-f]+);", 1)
-    point = F.when(piece.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+    """The character of one numeric entity of any length; an illegal number becomes the replacement character."""
+    digits = F.regexp_extract(piece, r"^&#[xX]?0*+([0-9A-Fa-f]*+);", 1)
+    number = F.when(piece.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+    point = F.when(F.length(digits) <= 7, F.coalesce(number.try_cast("int"), F.lit(0))).otherwise(0x110000)
 
     def text(n: Column) -> Column:
         # Four big-endian bytes decoded as UTF-32 are exactly one code point.
         legal = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-        return F.when(legal, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        safe = F.when(legal, n).otherwise(0xFFFD)
+        return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
 
     return let(point, text)
 
 
-def _decode_numeric(value: Column) -> Column:
-    pieces = F.regexp_extract_all(value, F.lit(r"&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"), F.lit(0))
-    return F.aggregate(F.array_distinct(pieces), value, lambda acc, p: F.replace(acc, p, _glyph(p)))
-
-
 def decode_entities(value: Column) -> Column:
-    """Decode the entities of short texts: numeric ones and the fixed list; ``&amp;`` last."""
+    """Decode every entity of a text once; what decoding gives is not decoded again, unknown names stay as they are."""
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
+
+    def character(piece: Column) -> Column:
+        return F.when(piece.startswith("&#"), _glyph(piece)).otherwise(F.coalesce(F.try_element_at(named, piece), piece))
 
     def decoded(text: Column) -> Column:
-        for name, char in ENTITIES.items():
-            if name == "&amp;":
-                text = let(text, _decode_numeric)
-            text = F.replace(text, F.lit(name), F.lit(char))
-        return text
+        between = F.split(text, _ENTITY, -1)
+        found = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
+        joined = F.zip_with(between, found, lambda t, e: F.concat(t, F.when(e.isNull(), "").otherwise(character(e))))
+        return F.array_join(joined, "")
 
     return let(value, lambda v: F.when(v.contains("&"), decoded(v)).otherwise(v))
 
 
 def strip_html(value: Column | str) -> Column:
-    """Text between the tags of a short fragment, pieces joined by one space; script and style bodies go."""
-    no_code = F.regexp_replace(col(value), r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>|<!--.*?-->", " ")
-    no_tags = F.regexp_replace(no_code, r"(?s)</?[A-Za-z!?](?:\"[^\"]*\"|'[^']*'|[^>\"'])*>", " ")
+    """Text between the tags of a fragment, pieces joined by one space; script and style bodies go.
+
+    A ``<`` that no ``>`` closes before the next one is text. Possessive repeats run without a stack frame per character.
+    """
+    no_code = F.regexp_replace(col(value), r"(?is)<(script|style|template)\b[^>]*+>.*?</\1\s*+>|<!--.*?-->", " ")
+    no_tags = F.regexp_replace(no_code, r"(?s)</?[A-Za-z!?](?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+>", " ")
     return clean_text(decode_entities(no_tags))
 
 
@@ -149,9 +151,12 @@ def text_or(value: Column | str, default: str) -> Column:
 
 
 def json_text(value: Column) -> Column:
-    """Text form of a VARIANT field; null, empty, zero, false and empty containers count as missing."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(text.isin("", "0", "0.0", "false", "[]", "{}"), F.lit(None).cast("string")).otherwise(text)
+    """Text form of a VARIANT field; null, empty text, the number zero, false and empty containers count as missing."""
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    number = ~kind.isin("STRING", "BOOLEAN") & ~kind.rlike("^(ARRAY|OBJECT)")
+    zero = number & (F.try_variant_get(value, "$", "double") == 0)
+    missing = F.when(kind == "STRING", text == "").otherwise(text.isin("false", "[]", "{}") | F.coalesce(zero, F.lit(False)))
+    return F.when(~missing, text)
 
 
 def nested_get(value: Column, dotted: Column | str) -> Column:

@@ -113,7 +113,7 @@ def _encoded(text: Column) -> Column:
 
 
 # A query of plain name=value pairs, which decoding and encoding would leave as it is.
-_PLAIN_QUERY = r"^[A-Za-z0-9_.~-]*=[A-Za-z0-9_.~-]*(?:&[A-Za-z0-9_.~-]*=[A-Za-z0-9_.~-]*)*$"
+_PLAIN_QUERY = r"^[A-Za-z0-9_.~-]*+=[A-Za-z0-9_.~-]*+(?:&[A-Za-z0-9_.~-]*+=[A-Za-z0-9_.~-]*+)*+$"
 
 
 def _clean_plain(query: Column, dropped: list[str]) -> Column:
@@ -330,6 +330,17 @@ def redact_password(url: Column | str) -> Column:
     return F.regexp_replace(col(url), r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#:@]*):[^/?#]+@", "$1:****@")
 
 
+def normalized_object_key(key: Column | str) -> Column:
+    """A relative key with empty, ``.`` and ``..`` steps resolved, as a file listing would name the object."""
+    steps = F.filter(F.split(col(key), "/"), lambda s: ~s.isin("", "."))
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, s: Column) -> Column:
+        return F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, s))
+
+    return F.array_join(F.aggregate(steps, none, step), "/")
+
+
 def is_safe_object_key(key: Column | str) -> Column:
     """True when a relative key, with ``..`` resolved, never leaves the storage root."""
     walk = F.aggregate(

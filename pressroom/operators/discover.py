@@ -267,7 +267,7 @@ def _open_pages(settled: DataFrame) -> DataFrame:
         settled.withColumn("_bucket", F.floor(F.col("page") / PAGES_PER_BUCKET)), ["source_name"], ["_bucket"], ["page"],
         {"_seen": ("sum", F.lit(1).cast("bigint")), "_bad": ("sum", F.when(bad, 1).otherwise(0).cast("bigint"))},
     )
-    within = F.col("page") <= F.coalesce("max_pages", "page")
+    within = F.col("page") <= F.coalesce("max_pages", F.lit(1))
     return counted.filter((F.col("_bad") == 0) & (F.col("_seen") == F.col("page")) & within).select("source_name", "page", "attempt")
 
 

@@ -25,7 +25,8 @@ from pressroom.functions.urls import col, let
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_TYPE = (
-    "struct<pos:int,last:int,parent:int,tag:string,id:string,classes:array<string>,attrs:map<string,string>,text:string>"
+    "struct<pos:int,last:int,parent:int,tag:string,id:string,classes:array<string>,attrs:map<string,string>,text:string,"
+    "aside:boolean,chars:bigint,plain:bigint>"
 )
 PAGE_TYPE = f"struct<nodes:array<{NODE_TYPE}>,index:map<string,array<int>>>"
 TEXT = "#text"
@@ -33,6 +34,8 @@ CODE = "#code"  # text of script, style and template: never part of an element's
 
 # HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements that are never main text.
+PERIPHERAL = ["nav", "header", "footer", "aside", "form", "button", "select", "noscript", "title", "a"]
 CODE_ELEMENTS = frozenset("script style template".split())
 RAW_TEXT = frozenset("script style xmp iframe noembed noframes".split())  # no markup, no entities inside
 PLAIN_TEXT = frozenset("title textarea".split())  # no markup inside
@@ -62,6 +65,7 @@ class _NodeLists:
     def __init__(self):
         self.row_starts = [0]
         self.pos, self.last, self.parent, self.tag, self.id, self.text = [], [], [], [], [], []
+        self.aside, self.chars, self.plain = [], [], []  # in peripheral elements; text so far, in all and outside of them
         self.class_starts, self.classes = [0], []
         self.attr_starts, self.attr_keys, self.attr_values = [0], [], []
         self.index_starts, self.index_keys, self.index_ends, self.index_positions = [0], [], [0], []
@@ -88,8 +92,11 @@ class _NodeLists:
                     pa.array(self.attr_starts, pa.int32()), pa.array(self.attr_keys, strings), pa.array(self.attr_values, strings)
                 ),
                 pa.array(self.text, strings),
+                pa.array(self.aside, pa.bool_()),
+                pa.array(self.chars, pa.int64()),
+                pa.array(self.plain, pa.int64()),
             ],
-            names=["pos", "last", "parent", "tag", "id", "classes", "attrs", "text"],
+            names=["pos", "last", "parent", "tag", "id", "classes", "attrs", "text", "aside", "chars", "plain"],
         )
         ints = pa.int32()
         nodes = pa.ListArray.from_arrays(pa.array(self.row_starts, ints), structs)
@@ -120,6 +127,7 @@ class _Page:
         self.open: list[tuple[str, int]] = []
         self.n_open: dict[str, int] = {}  # spares deep pages the walk up when nothing is there to close
         self.index: dict[str, list[int]] = {}
+        self.chars = self.plain = 0
 
     def add(self, tag: str, attributes: str, text: str | None) -> int:
         out = self.out
@@ -130,6 +138,13 @@ class _Page:
         out.parent.append(self.open[-1][1] - self.base if self.open else None)
         out.tag.append(tag)
         out.text.append(text)
+        aside = any(self.n_open.get(name) for name in PERIPHERAL)
+        if tag == TEXT:
+            self.chars += len(text)
+            self.plain += 0 if aside else len(text)
+        out.aside.append(aside)
+        out.chars.append(self.chars)
+        out.plain.append(self.plain)
         out.id.append(self.add_attributes(attributes, pos) if attributes else None)
         out.class_starts.append(len(out.classes))
         out.attr_starts.append(len(out.attr_keys))

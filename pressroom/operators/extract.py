@@ -23,10 +23,8 @@ GENERIC_RULE_SET = "generic"
 # JSON-LD types that describe an article.
 ARTICLE_TYPES = ["newsarticle", "article", "reportagereport"]
 
-# Block elements considered as main-text containers, and elements that are never main text.
+# Block elements considered as main-text containers.
 CONTAINERS = ["article", "main", "section", "div", "td", "body"]
-PERIPHERAL = ["nav", "header", "footer", "aside", "form", "button", "select", "noscript", "title", "a"]
-MAIN_TEXT_MIN_CHARS = 100
 
 
 def rule_sets(source_rules: DataFrame) -> DataFrame:
@@ -134,34 +132,25 @@ def content_paragraphs(nodes: Column, matches: Column, stripped: Column) -> Colu
 
 
 def main_text(page: Column) -> Column:
-    """Text of the densest container: much own text, few links, little around it.
+    """Text of the densest container: much own text, few links, little around it. Any text counts, however short.
 
-    A container scores its plain text twice over, discounted by the share of links and peripheral
-    text in it, so a tight container beats the page around it.
+    A container scores its plain text discounted by the share of links and peripheral text in it, so a tight container beats the
+    page around it. Scores are differences of running totals that the tokeniser kept; text is put together for the best one only.
     """
-    peripheral = dom.nodes_of(page, *PERIPHERAL)
-    texts = F.transform(
-        F.filter(page["nodes"], lambda n: n["tag"] == dom.TEXT),
-        lambda n: F.struct(n["pos"].alias("pos"), n["text"].alias("text"), dom.inside_any(n["pos"], peripheral).alias("aside")),
-    )
+    nodes = page["nodes"]
 
-    def scored(c: Column, own: Column) -> Column:
-        plain = F.aggregate(own, F.lit(0), lambda acc, t: acc + F.when(t["aside"], 0).otherwise(F.char_length(t["text"])))
-        total = F.aggregate(own, F.lit(0), lambda acc, t: acc + F.char_length(t["text"]))
-        return F.struct((plain * plain / F.greatest(total, F.lit(1))).alias("score"), c["pos"].alias("pos"), plain.alias("plain"),
-                        F.array_join(F.transform(F.filter(own, lambda t: ~t["aside"]), lambda t: t["text"]), " ").alias("text"))
-
-    def best(all_texts: Column) -> Column:
-        return F.array_max(
-            F.transform(
-                dom.nodes_of(page, *CONTAINERS),
-                lambda c: let(
-                    F.filter(all_texts, lambda t: (c["pos"] < t["pos"]) & (t["pos"] <= c["last"])), lambda own: scored(c, own)
-                ),
-            )
-        )
+    def scored(c: Column) -> Column:
+        end = F.get(nodes, c["last"])
+        plain, total = (end["plain"] - c["plain"]).cast("double"), (end["chars"] - c["chars"]).cast("double")
+        score = plain * plain / F.greatest(total, F.lit(1.0))
+        return F.struct(score.alias("score"), c["pos"].alias("pos"), c["last"].alias("last"), plain.alias("plain"))
+
+    def text(best: Column) -> Column:
+        inside = F.slice(nodes, best["pos"] + 1, best["last"] - best["pos"] + 1)
+        own = F.filter(inside, lambda n: (n["tag"] == dom.TEXT) & ~n["aside"])
+        return F.when(best["plain"] > 0, clean_text(F.array_join(F.transform(own, lambda n: n["text"]), " ")))
 
-    return let(let(texts, best), lambda b: F.when(b["plain"] >= MAIN_TEXT_MIN_CHARS, clean_text(b["text"])))
+    return let(F.array_max(F.transform(dom.nodes_of(page, *CONTAINERS), scored)), text)
 
 
 def canonical_link(page: Column, stripped: Column) -> Column:
@@ -246,9 +235,9 @@ def custom_articles(pages: DataFrame, parser: Callable[[Iterator[pd.DataFrame]],
 
 
 def merge_discovery(articles: DataFrame, discovered: DataFrame, on: list[str] | str = "url") -> DataFrame:
-    """Fill missing title, date, author and thumbnail from discovery; ``discovered`` has one row per key."""
+    """Fill missing title, date, author and thumbnail from discovery; of several hints for a key the smallest value counts."""
     keys = [on] if isinstance(on, str) else on
-    hints = discovered.select(*keys, *[F.col(f).alias(f"_hint_{f}") for f in SCALAR_FIELDS])
+    hints = discovered.groupBy(*keys).agg(*[F.min(blank_to_null(f)).alias(f"_hint_{f}") for f in SCALAR_FIELDS])
     joined = articles.join(hints, keys, "left")
     filled = {f: F.coalesce(blank_to_null(f), blank_to_null(f"_hint_{f}")) for f in SCALAR_FIELDS}
     return joined.withColumns(filled).drop(*[f"_hint_{f}" for f in SCALAR_FIELDS])

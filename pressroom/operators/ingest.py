@@ -83,8 +83,8 @@ NOT_FOUND_MARKS = ["404", "not found", "page not found", "không tìm thấy tra
 LOGIN_MARKS = ["log in", "sign in", "login required", "đăng nhập"]
 MIN_CONTENT, MAX_CONTENT = 150, 200_000
 MIN_PARAGRAPHS, MAX_PARAGRAPHS = 1, 2_000
-# A mark only counts on a page with little text: an article about captchas is still an article.
-SHORT_PAGE = 600
+# Marks count in a title, or where they make up so much of the text: an article about captchas is still an article.
+MARK_SHARE = 0.01
 
 
 def _mentions(text: Column, marks: list[str]) -> Column:
@@ -94,25 +94,39 @@ def _mentions(text: Column, marks: list[str]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def article_validation(articles: DataFrame, url: str = "url") -> DataFrame:
+def _share(text: Column, marks: list[str]) -> Column:
+    """The share of a text's characters that marks make up."""
+    gone = F.lit(0)
+    for mark in marks:
+        gone = gone + F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+    return F.coalesce(gone / F.nullif(F.length(text), F.lit(0)), F.lit(0.0))
+
+
+def article_validation(
+    articles: DataFrame, url: str = "url", content_length: tuple[int, int] = (MIN_CONTENT, MAX_CONTENT),
+    paragraphs: tuple[int, int] = (MIN_PARAGRAPHS, MAX_PARAGRAPHS), mark_share: float = MARK_SHARE,
+) -> DataFrame:
     """Names of the failed checks per article, and whether it passed. Needs ``title, content, paragraph_count``.
 
     Stricter than the crawl status, which a 404 template with a paragraph would pass.
     """
     content, title = blank_to_null("content"), F.lower(F.coalesce("title", F.lit("")))
     length = F.coalesce(F.char_length(content), F.lit(0))
-    thin = length < SHORT_PAGE
-    hints = F.concat_ws(" ", title, F.when(thin, F.lower(content)))
+    body = F.lower(content)
+
+    def shows(marks: list[str]) -> Column:
+        return _mentions(title, marks) | (_share(body, marks) >= mark_share)
+
     path = F.regexp_replace(U.path(url), "/+$", "")
     checks = {
         "missing_title": title == "",
         "missing_content": content.isNull(),
-        "content_length": content.isNotNull() & ~length.between(MIN_CONTENT, MAX_CONTENT),
-        "paragraph_count": content.isNotNull() & ~F.col("paragraph_count").between(MIN_PARAGRAPHS, MAX_PARAGRAPHS),
+        "content_length": content.isNotNull() & ~length.between(*content_length),
+        "paragraph_count": content.isNotNull() & ~F.col("paragraph_count").between(*paragraphs),
         "homepage": (path == "") | F.lower(path).isin("/index.html", "/index.htm", "/index.php"),
-        "captcha": thin & _mentions(hints, CAPTCHA_MARKS),
-        "not_found_page": thin & _mentions(hints, NOT_FOUND_MARKS),
-        "login_wall": thin & _mentions(hints, LOGIN_MARKS),
+        "captcha": shows(CAPTCHA_MARKS),
+        "not_found_page": shows(NOT_FOUND_MARKS),
+        "login_wall": shows(LOGIN_MARKS),
     }
     reasons = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in checks.items()]))
     return articles.withColumn("validation_errors", reasons).withColumn("is_valid", F.size("validation_errors") == 0)
@@ -226,10 +240,9 @@ def reliability_metrics(attempts: DataFrame, by: str = "source_id") -> DataFrame
     )
 
 
-def status_distribution(attempts: DataFrame, statuses: list[int], by: str = "source_id") -> DataFrame:
-    """One column per HTTP status; the list is fixed, so no extra pass looks for the values."""
-    return attempts.groupBy(by).pivot("http_status", statuses).agg(F.count(F.lit(1))).fillna(0).select(
-        by, *[F.col(str(s)).alias(f"http_{s}") for s in statuses])
+def status_distribution(attempts: DataFrame, by: str = "source_id") -> DataFrame:
+    """One row per source and HTTP status that occurs, null included; the counts of a source add up to its attempts."""
+    return attempts.groupBy(by, "http_status").agg(F.count(F.lit(1)).alias("attempts"))
 
 
 def mvp_metrics(crawls: DataFrame) -> DataFrame:

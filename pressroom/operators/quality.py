@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pressroom.functions.text import blank_to_null
 from pressroom.functions.urls import col, let
 from pressroom.schemas import METADATA_V2_FIELDS
+from pressroom.session import bounded_broadcast
 
 SHORT_CONTENT = 150
 
@@ -71,10 +72,17 @@ def fetch_strategy(http_pages: DataFrame, rendered_pages: DataFrame, fetcher_typ
 
     ``http_status`` keeps the plain response's value; ``fetch_method`` tells which copy was used.
     """
-    copies = rendered_pages.select("url", F.col("html").alias("_html"), F.col("final_url").alias("_final"))
     needs_copy = (is_blank("html") | F.coalesce(F.col("http_status") == 403, F.lit(False))) & (F.col(fetcher_type) == "http")
-    joined = http_pages.withColumn("needs_browser", needs_copy).join(copies, "url", "left")
-    use_copy = F.col("needs_browser") & ~is_blank("_html")
+    marked = http_pages.withColumn("needs_browser", F.coalesce(needs_copy, F.lit(False)))
+    # Only the few pages that want a copy are joined; copies are cut to their URLs first, and to one a URL.
+    few = marked.where("needs_browser")
+    wanted = rendered_pages.join(bounded_broadcast(few.select("url").distinct()), "url", "left_semi").where(~is_blank("html"))
+    copies = wanted.groupBy("url").agg(F.min(F.struct("html", "final_url")).alias("_copy"))
+    copies = copies.select("url", F.col("_copy.html").alias("_html"), F.col("_copy.final_url").alias("_final"))
+    none = F.lit(None).cast("string")
+    rest = marked.where("not needs_browser").withColumns({"_html": none, "_final": none})
+    joined = few.join(copies, "url", "left").unionByName(rest)
+    use_copy = F.col("needs_browser") & F.col("_html").isNotNull()
     return joined.select(
         *[c for c in http_pages.columns if c not in ("html", "final_url")],
         F.when(use_copy, F.col("_html")).otherwise(F.col("html")).alias("html"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.functions.text import blank_to_null
-from pressroom.functions.urls import is_safe_object_key
+from pressroom.functions.urls import is_safe_object_key, normalized_object_key
 
 FINDING = {
     "category": "string", "metadata_path": "string", "schema_version": "int", "raw_object_key": "string",
@@ -66,7 +66,7 @@ def _checked(metadata: DataFrame, rows: DataFrame, raw_files: DataFrame) -> Data
     """References next to the hash of the object they point at; an unsafe key never finds one."""
     objects = raw_files.select(F.col("raw_object_key").alias("_key"), F.col("content_hash").alias("actual"), F.lit(True).alias("_found"))
     refs = references(metadata, rows)
-    wanted = F.when(is_safe_object_key("raw_object_key"), F.col("raw_object_key"))
+    wanted = F.when(is_safe_object_key("raw_object_key"), normalized_object_key("raw_object_key"))
     return refs.withColumn("_wanted", wanted).join(objects, F.col("_wanted") == F.col("_key"), "left").drop("_key", "_wanted")
 
 

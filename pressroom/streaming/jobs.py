@@ -23,10 +23,11 @@ def landing_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parq
 
 
 def _without_own_batch(spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
-    """The table as it was before this batch: a replay must not see its own first try."""
+    """The keys of the table as it was before this batch: a replay must not see its own first try."""
     if not _exists(spark, table):
         return None
-    return spark.read.parquet(table).filter(F.col("batch_id") != batch_id)
+    # a stated schema, as batches without new URLs leave no file to read one from
+    return spark.read.schema("source_name string, url_hash string, batch_id bigint").parquet(table).filter(F.col("batch_id") != batch_id)
 
 
 def append_new_urls(batch: DataFrame, batch_id: int, table: str) -> None:

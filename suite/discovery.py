@@ -113,8 +113,8 @@ def _api_sources(spark):
     mapping = {"url": "link.href", "author": "user.name", "title": "t"}
     return small_table(spark, [
         {"source_id": 1, "source_name": "api0", "channel_type": "api", "data_path": "res.list", "field_mapping": mapping, "max_pages": 1_000_000_000},
-        {"source_id": 2, "source_name": "api1", "channel_type": "api", "data_path": ""},
-        {"source_id": 3, "source_name": "api2", "channel_type": "api"},
+        {"source_id": 2, "source_name": "api1", "channel_type": "api", "data_path": "", "max_pages": 1_000_000_000},
+        {"source_id": 3, "source_name": "api2", "channel_type": "api", "max_pages": 1_000_000_000},
         {"source_id": 4, "source_name": "api3", "channel_type": "api", "max_pages": 1_000_000_000},
     ], SOURCES)
 

@@ -62,7 +62,7 @@ def item(n):
 
 
 def api_urls(spark, rows, **options):
-    sources = small_table(spark, [{"source_id": 1, "source_name": "s", "channel_type": "api", **options}], SOURCES)
+    sources = small_table(spark, [{"source_id": 1, "source_name": "s", "channel_type": "api", "max_pages": 1_000, **options}], SOURCES)
     return sorted(r.url[14:] for r in discover.discover_api(attempts(spark, rows), sources).collect())
 
 
