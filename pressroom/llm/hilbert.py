@@ -61,11 +61,12 @@ def quantise(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     numbers = [_number(df, d) for d in dimensions]
     cuts = df.agg(*[F.percentile_approx(x, shares, 10_000).alias(f"c{i}") for i, x in enumerate(numbers)]).first()
-    cells = []
-    for x, own in zip(numbers, cuts, strict=True):
-        steps = F.array(*[F.lit(float(c)) for c in sorted(set(own or []))]) if own else F.array().cast("array<double>")
-        cells.append(F.when(x.isNull(), 0).otherwise(F.size(F.filter(steps, lambda c, x=x: c <= x))).cast("int"))
-    return cells
+
+    def cell(x: Column, own: list[float] | None) -> Column:
+        steps = F.array(*[F.lit(float(c)) for c in sorted(set(own or []))]).cast("array<double>")
+        return F.when(x.isNull(), 0).otherwise(F.size(F.filter(steps, lambda c: c <= x))).cast("int")
+
+    return [cell(x, own) for x, own in zip(numbers, cuts, strict=True)]
 
 
 def hilbert_shards(
