@@ -36,6 +36,8 @@ SPACE, END, START, SYMBOLS = 32, 256, 257, 257  # START stands before a text onl
 BITS = 9
 #: Bytes of text in a block.
 BLOCK_BYTES = 16 << 20
+#: Bytes of text that a task works on at once, in arrays of about a hundred bytes a symbol.
+PIECE_BYTES = 1 << 20
 MAX_BUCKETS = 4096
 _RUN, _WORD = 0, 1
 
@@ -96,7 +98,7 @@ def counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Several lists of distinct keys and counts as one."""
     keys, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, np.bincount(inverse, np.concatenate([p[1] for p in parts]).astype(np.float64), len(keys))
+    return keys, np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(keys))
 
 
 class Lookup:
@@ -215,22 +217,24 @@ def score_documents(docs: DataFrame, learn: Column) -> DataFrame:
     def count(table: pa.Table) -> pa.Table:
         parts: dict[int, list] = {_RUN: [], _WORD: []}
         for batch in table.to_batches():
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 codes, at, w = runs(piece.column("text"))
                 mine = piece.column("learn").to_numpy(zero_copy_only=False)
                 parts[_RUN].append(counted(codes, np.repeat(mine, np.diff(at))))
                 parts[_WORD].append(counted(w.hash, np.repeat(mine, np.diff(w.bounds))))
+                if len(parts[_RUN]) >= 8:
+                    parts = {kind: [summed(found)] for kind, found in parts.items()}
         rows = []
         block = table.column("block")[0].as_py()
         for kind, found in parts.items():
-            keys, counts = counted(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+            keys, counts = summed(found)
             bucket = bucket_of(keys, n_buckets) if kind == _RUN else (keys % U64(n_buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             for b in range(n_buckets):
                 own = order[cuts[b] : cuts[b + 1]]
                 if len(own):
-                    rows.append((b, kind, block, packed(keys[own]), packed(counts[own])))
+                    rows.append((b, kind, block, packed(keys[own]), packed(counts[own].astype("<u4"))))
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(5)], names)
 
     sent = materialize(blocks.groupBy("block").applyInArrow(count, asked))
@@ -322,7 +326,7 @@ def score_documents(docs: DataFrame, learn: Column) -> DataFrame:
             lookups[kind] = Lookup(keys, np.concatenate([np.zeros(0, dtype), *[unpacked(r["answers"], dtype) for r in rows]]))
         ids, columns = [], [[] for _ in range(4)]
         for batch in table.to_batches():
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 codes, at, w = runs(piece.column("text"))
                 texts = len(at) - 1
                 owner, of_word = np.repeat(np.arange(texts), np.diff(at)), np.repeat(np.arange(texts), np.diff(w.bounds))
