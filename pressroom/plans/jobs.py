@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.functions import urls as U
@@ -13,7 +13,17 @@ from pressroom.operators.discover import discover_api, discover_listing, discove
 from pressroom.operators.extract import SCALAR_FIELDS, extract_articles
 from pressroom.operators.reconcile import reconcile_report
 from pressroom.operators.reports import SKIPPED, run_stats
-from pressroom.session import materialize
+from pressroom.session import bounded_broadcast, materialize
+
+
+def pages_with(pages: DataFrame, keys: DataFrame, url_hash: Column) -> DataFrame:
+    """The pages whose hash is among ``keys.url_hash``, told before anything looks into their HTML.
+
+    The keys are written out first. Up to the broadcast limit they go to the pages; beyond it the pages that have a partner are
+    shuffled once.
+    """
+    wanted = materialize(keys.select(F.col("url_hash").alias("_wanted")).distinct())
+    return pages.join(bounded_broadcast(wanted), url_hash == F.col("_wanted"), "left_semi")
 
 
 def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame, named: str | None = None) -> DataFrame:
@@ -57,7 +67,7 @@ def collect_news(discovered: DataFrame, artifacts: DataFrame, pages: DataFrame,
     """(articles, statistics): skip what has an artifact, then take the articles of the rest.
 
     ``pages`` are the landed responses to earlier discoveries, with the ``source_name`` they were fetched for.
-    They are extracted where they lie; only keys and article fields are joined, never page bodies. A discovered
+    What is new is told on keys first, and only pages of new URLs are looked into, where they lie. A discovered
     URL without a page counts as failed. Pages are extracted once, into ``work`` or the checkpoint folder, because
     articles and statistics both need the result.
     """
@@ -67,7 +77,8 @@ def collect_news(discovered: DataFrame, artifacts: DataFrame, pages: DataFrame,
     hints = fresh.select(*keys, "discovery_method", F.col("raw_metadata").alias("discovery_metadata"),
                          *[F.col(f).alias(f"_hint_{f}") for f in SCALAR_FIELDS])
     filled = {f: F.coalesce(blank_to_null(f), blank_to_null(f"_hint_{f}")) for f in SCALAR_FIELDS}
-    extracted = materialize(crawl_articles(pages, sources, source_rules, named="source_name"), work)
+    new_pages = pages_with(pages, fresh, U.short_hash(U.normalize_v1("url")))
+    extracted = materialize(crawl_articles(new_pages, sources, source_rules, named="source_name"), work)
     articles = extracted.join(hints, keys).withColumns(filled).drop(*[f"_hint_{f}" for f in SCALAR_FIELDS])
     done = extracted.select(*keys, "status")
     fetched = fresh.select(*keys).join(done, keys, "left").withColumn("status", F.coalesce("status", F.lit("UNKNOWN_ERROR")))
@@ -86,7 +97,8 @@ def scheduled_batch(url_lists: DataFrame, rawdata: DataFrame, pages: DataFrame,
     runs = url_lists.select(list_id, "source_id")
     marked = skip_done_in_run(accepted.join(runs, list_id).withColumnRenamed(list_id, "crawl_run_id"), rawdata)
     pending = marked.filter(F.col("action") == "PENDING").select("crawl_run_id", "url", F.col("source_id").alias("_run_source"))
-    extracted = materialize(crawl_articles(pages, sources, source_rules).withColumn("url", U.normalize_v2("url")), work)
+    wanted = pages_with(pages, pending.select(U.short_hash("url").alias("url_hash")), U.short_hash(U.normalize_v2(U.normalize_v1("url"))))
+    extracted = materialize(crawl_articles(wanted, sources, source_rules).withColumn("url", U.normalize_v2("url")), work)
     articles = extracted.join(pending, "url").withColumn("source_id", F.col("_run_source")).drop("_run_source")
     done = articles.select("source_id", "crawl_run_id", "url", F.col("status").alias("_status"))
     outcomes = marked.join(done, ["source_id", "crawl_run_id", "url"], "left").withColumn(
@@ -108,15 +120,15 @@ def reconcile_stored(metadata: DataFrame, rows: DataFrame | None, raw_files: Dat
 def new_page_quality(pages: DataFrame, known: DataFrame, sources: DataFrame, source_rules: DataFrame) -> DataFrame:
     """Which pages are new, and which of them became good articles: statistics per source with a total row.
 
-    Pages are judged first and compared with the known URL hashes afterwards: what is shuffled is a hash and a
-    verdict per page instead of its HTML.
+    Which pages are new is told on their hashes alone, so known pages are never parsed.
     """
-    articles = crawl_articles(pages, sources, source_rules)
-    verdicts = articles.select(
-        U.short_hash("url").alias("url_hash"), "source_name", "status", "paragraph_count",
+    hashes = pages.select(U.url_hash_v1("url").alias("url_hash"))
+    fresh_keys = hashes.join(known.select("url_hash"), "url_hash", "left_anti")
+    articles = crawl_articles(pages_with(pages, fresh_keys, U.url_hash_v1("url")), sources, source_rules)
+    fresh = articles.select(
+        "source_name", "status", "paragraph_count",
         ((F.col("status") == "SUCCESS") & ~F.array_contains("quality_flags", "short_content")).alias("is_good"),
     )
-    fresh = verdicts.join(known.select("url_hash"), "url_hash", "left_anti")
     return fresh.rollup("source_name").agg(
         F.count(F.lit(1)).alias("pages"),
         F.count_if(F.col("status") == "SUCCESS").alias("success"),

@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from suite import articles, discovery, functions, ingestion, lookups, reporting, storage, streams  # noqa: F401
+    from suite import articles, discovery, functions, ingestion, library, lookups, reporting, storage, streams  # noqa: F401
