@@ -7,9 +7,9 @@ key that both share. Every pair within that distance is found. At a similarity o
 128 positions, once in about 40,000 cases. A longer sketch used in the
 last round adds another such chance.
 
-Only links between different components matter for the groups, so they are confirmed in rounds: with the first
-document of each index group, with the nearest one of another component (a few times over), and then with all that are left in other
-components. The last round has no bound on partners; the others only make it small. Links are confirmed on the full sets.
+Only links between different components matter for the groups, so they are confirmed in rounds: with the first document of each
+index group, with the one that is nearest to all the group, with the one nearest to the document, and then with all that are left in
+other components. The last round has no bound on partners; the others only make it small. Links are confirmed on the full sets.
 
 Rows with a null, empty or blank text have no set and are linked with nothing. A row with a null doc_id takes part in no group
 (null component, kept). Repeated rows are one class; a doc_id is taken to be one document. No texts give no rows.
@@ -36,8 +36,6 @@ INDEX_DISTANCE, DISTANCE = 2 * CHUNKS - 1, 45
 SKETCH, SKETCH_DISTANCE = 512, 141
 #: Members of an index group that one piece of work compares with as many others; larger groups are cut.
 BLOCK = 1024
-#: Rounds that take the nearest partner only, before the one that takes all.
-NEAREST_ROUNDS = 3
 
 _SEEDS = constants(7, POSITIONS)
 _SKETCH_SEEDS = constants(9, SKETCH)
@@ -88,7 +86,7 @@ def set_features(docs: DataFrame, n: int) -> DataFrame:
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """(key, id): for every chunk and every position left out of it, a hash of the others."""
+    """(key, id, slot): for every chunk and every position left out of it, a hash of the others; the position is the slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,11 +97,10 @@ def index_keys(classes: DataFrame) -> DataFrame:
             keys = np.empty((len(rows), INDEXED), U64)
             for chunk in _CHUNK:
                 keys[:, chunk] = mix(spread[:, chunk].sum(axis=1, dtype=U64)[:, None] - spread[:, chunk] + _KEY_SEEDS[chunk])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(batch.column("id").to_numpy(), INDEXED))], ["key", "id"]
-            )
+            ids, slots = np.repeat(batch.column("id").to_numpy(), INDEXED), np.tile(np.arange(INDEXED, dtype=np.int8), len(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(ids), pa.array(slots)], ["key", "id", "slot"])
 
-    return classes.select("id", "signature").mapInArrow(run, "key bigint, id bigint")
+    return classes.select("id", "signature").mapInArrow(run, "key bigint, id bigint, slot tinyint")
 
 
 def sketches(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -139,24 +136,48 @@ def signature_distance(a, b):
     return pd.Series(within(x, y).astype(np.int32))
 
 
+def first_shared_slot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The first slot whose key both signatures of each row have: where a chunk is equal its first, where it differs once that one."""
+    found = np.full(len(x), INDEXED)
+    for chunk in reversed(_CHUNK):
+        differ = x[:, chunk] != y[:, chunk]
+        n = differ.sum(axis=1)
+        found = np.where(n == 0, chunk[0], np.where(n == 1, chunk[0] + differ.argmax(axis=1), found))
+    return found
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``within`` for all rows of ``x`` and all columns of ``y``, on the low bytes of signatures.
+
+    Bytes agree by chance a little more often than whole positions, so no pair seems farther apart than it is.
+    """
+    far = np.zeros((len(x), y.shape[1]), np.uint8)
+    for k in range(POSITIONS):
+        far += (x[:, k, None] != y[k]).view(np.uint8)
+        if k + 1 == INDEXED:
+            beyond = far > INDEX_DISTANCE
+    far[beyond] = POSITIONS + 1
+    return far
+
+
 def mixed_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, component, blocks): members of the index groups that span several components."""
-    at = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    """(key, id, slot, component, blocks): members of the index groups that span several components."""
+    at = members.join(labels, "id", "left").select("key", "id", "slot", F.coalesce("component", "id").alias("component"))
     ends = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     return at.join(ends.where("low != high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
 
 
-def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, nearest: bool) -> DataFrame:
+def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, partner: str) -> DataFrame:
     """Distinct pairs of an index group that lie in different components, within the distance, and near enough in size.
 
-    ``traits`` has signature and n_shingles of each id, and sketch where all partners are asked for; ``nearest`` keeps one partner
-    of each member in each piece of a group. A large group is cut into blocks, and each pair of blocks is a piece of its own.
+    ``traits`` has signature and n_shingles of each id, and sketch where all partners are asked for; of the partners of a
+    member in a piece of a group "central" takes the one that is nearest to all, "nearest" the one nearest to the member. A large group is cut into blocks, and each pair of blocks is a piece of its own.
     """
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = groups.select("key", "id", "component", "blocks", block.alias("own"))
+    placed = groups.select("key", "id", "slot", "component", "blocks", block.alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.select("key", "id", "component", "own", other.alias("other")).select(
-        "key", "id", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
+    placed = placed.select("key", "id", "slot", "component", "own", other.alias("other")).select(
+        "key", "id", "slot", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     )
     rows = placed.join(traits, "id").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
 
@@ -164,19 +185,24 @@ def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, nearest: boo
         ids, components, own, sizes, signatures = (part[c] for c in ("id", "component", "own", "n_shingles", "signature"))
         left, right = (np.flatnonzero(own == x), np.flatnonzero(own == y)) if x != y else (np.arange(len(ids)),) * 2
         out = []
-        for low in range(0, len(left), 64):
-            i = left[low : low + 64]
-            far = within(signatures[i][:, None], signatures[right][None])
+        columns = np.ascontiguousarray(signatures[right].T)
+        centre = int(distances(signatures[left[:128]], columns).sum(axis=0, dtype=np.int64).argmin()) if len(left) and len(right) else 0
+        for low in range(0, len(left), 128):
+            i = left[low : low + 128]
+            far = distances(signatures[i], columns)
             small, large = np.minimum(sizes[i][:, None], sizes[right]), np.maximum(sizes[i][:, None], sizes[right])
             far[(components[i][:, None] == components[right]) | (100 * small < percent * large)] = POSITIONS + 1
-            if nearest:
+            if partner != "all":
                 p = np.arange(len(i))
-                q = far.argmin(axis=1)
+                q = far.argmin(axis=1) if partner == "nearest" else np.full(len(i), centre)
                 p, q = p[far[p, q] <= DISTANCE], q[far[p, q] <= DISTANCE]
             else:
                 p, q = np.nonzero(far <= DISTANCE)
                 sure = (part["sketch"][i[p]] != part["sketch"][right[q]]).sum(axis=1) <= SKETCH_DISTANCE
                 p, q = p[sure], q[sure]
+                # a pair of several groups is reported by the first of them
+                once = first_shared_slot(part["whole"][i[p]], part["whole"][right[q]]) == part["slot"][0]
+                p, q = p[once], q[once]
             out.append(np.stack([ids[i[p]], ids[right[q]]], 1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return np.unique(np.sort(pairs, axis=1), axis=0)
@@ -185,9 +211,11 @@ def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, nearest: boo
         waiting: list[pa.RecordBatch] = []
 
         def done(table: pa.Table) -> pa.RecordBatch:
-            cols = {c: table.column(c).to_numpy() for c in ("key", "id", "component", "own", "x", "y", "n_shingles")}
-            cols["signature"] = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-            if not nearest:
+            cols = {c: table.column(c).to_numpy() for c in ("key", "id", "slot", "component", "own", "x", "y", "n_shingles")}
+            whole = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+            cols["signature"] = whole.astype(np.uint8)
+            if partner == "all":
+                cols["whole"] = whole[:, :INDEXED]
                 cols["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
             change = np.flatnonzero(np.diff(cols["key"]) | np.diff(cols["x"]) | np.diff(cols["y"])) + 1
             found = [np.zeros((0, 2), np.int64)]
@@ -268,14 +296,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labels = connected_components(edges)
 
     traits = classes.select("id", "signature", "n_shingles")
-    for nearest in (*[True] * NEAREST_ROUNDS, False):
+    for partner in ("central", "nearest", "all"):
         groups = materialize(mixed_groups(members, labels))
-        if not nearest:
+        if partner == "all":
             traits = traits.join(sketches(docs, materialize(groups.select("id").distinct()), words), "id")
-        more = materialize(cross_pairs(groups, traits, percent, nearest).join(tested, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            continue
-        tested = tested.unionByName(more)
+        more = materialize(cross_pairs(groups, traits, percent, partner))
         found = materialize(confirmed(more, docs, classes, words, percent))
         if not found.isEmpty():
             edges = edges.unionByName(found)
