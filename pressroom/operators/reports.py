@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressroom.functions.text import NO_REASON, blank_to_null, content_length, text_or
+from pressroom.functions.text import blank_to_null, content_length, text_or
 
 SKIPPED = "SKIPPED_EXISTING"
 
@@ -53,16 +53,6 @@ def batch_outcome(outcomes: DataFrame, run: str = "crawl_run_id") -> DataFrame:
         "batch_failed", F.col("failures") > 0)
 
 
-def run_log(outcomes: DataFrame) -> DataFrame:
-    """Log line parts per article with display defaults."""
-    from pressroom.functions.text import NO_AUTHOR, word_count
-
-    return outcomes.select(
-        "url", "status", word_count("content").alias("words"), text_or("author", NO_AUTHOR).alias("author"),
-        F.when(F.col("status") != "SUCCESS", text_or("error_message", NO_REASON)).alias("reason"),
-    )
-
-
 def record_summary(records: DataFrame, fields: list[str] | None = None, key: str = "url") -> DataFrame:
     """Status, title, content length and the names of the fields that are set, in schema order."""
     fields = fields or records.columns

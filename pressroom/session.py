@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+#: The optimizer's estimate of a stored table is its compressed size; in memory it can be as many times larger.
+EXPANSION = 4
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -67,4 +69,4 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 
     Past the limit the join is left to Spark: a shuffle join, split by AQE where keys are skewed.
     """
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
+    return F.broadcast(df) if plan_bytes(df) * EXPANSION <= limit else df

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +68,3 @@ def stamp(c: str):
 
 def stamp_sql(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') as {c}"
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)
