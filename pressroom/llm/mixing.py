@@ -3,11 +3,12 @@
 Each source gets a mean number of copies per document, so that the mix meets the target weights: rate = weight * total size /
 size of the source, where sizes are counted over all documents. The number of copies of a document is the Poisson quantile at a
 point in [0, 1) drawn from a hash of the seed and the document's id, so it does not depend on partitioning, retries or other
-documents. Copies are then put in an order by a second hash, over the whole output.
+documents. A rate over 500 is split into equal parts, each with a hashed point of its own, whose counts are added up. Copies are then put in an order by a second hash, over the whole output.
 
 A null source is a source of its own (weight under None). A document without doc_id is drawn by the hash of an empty id. Repeated
 rows are drawn alike. A source with weight 0, or not named in explicit weights, has rate 0. An empty table gives an empty mix.
-Names that clash with the added columns (copy, position) are replaced by them.
+Names that clash with the added columns (copy, position) are replaced by them. Rates of any size are drawn, but ``mix`` rejects explicit
+weights that ask for a mean of over 500 copies per document.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pressroom.session import bounded_broadcast, materialize
 
 #: 13 hex digits: 52 bits, exact in a double.
 HEX, STEPS = 13, float(1 << 52)
+#: A larger rate is drawn as a sum of equal parts of at most this rate each, which is Poisson again. Copies are made in blocks of as many.
+PART = 500
 
 
 def unit_hash(seed: str, *parts: Column) -> Column:
@@ -33,9 +36,9 @@ def unit_hash(seed: str, *parts: Column) -> Column:
 def poisson_steps(rate: Column) -> Column:
     """Cumulative Poisson probabilities P(0), P(0..1), ... up to where they stop growing in double precision.
 
-    A rate over 500 (where exp(-rate) nears the smallest double) is rejected: no document is worth as many copies.
+    The rate is one of a part, at most PART, where exp(-rate) is still far from the smallest double.
     """
-    rate = F.when(rate > 500, F.raise_error(F.lit("a mean of over 500 copies per document"))).otherwise(rate).cast("double")
+    rate = rate.cast("double")
     count = F.greatest(F.lit(20), F.ceil(rate + 12 * F.sqrt(rate) + 12)).cast("int")
     start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("steps"))
 
@@ -65,14 +68,41 @@ def source_rates(docs: DataFrame, by: str = "source", size: Column | None = None
     return given.crossJoin(F.broadcast(sums)).select("source", "n_docs", "size", weight.alias("weight"), rate.alias("rate"))  # one row of sums
 
 
+def _draw(seed: str) -> Column:
+    """Copies of a row with _steps and _parts: the count of the first part is drawn at the point of the id, others at points of id and part."""
+    doc_id = F.col("doc_id")
+
+    def count(u: Column) -> Column:
+        return F.size(F.filter("_steps", lambda c: c <= u))
+
+    others = F.sequence(F.lit(2).cast("bigint"), F.col("_parts"))
+    more = F.aggregate(others, F.lit(0).cast("bigint"), lambda n, part: n + count(unit_hash(f"{seed}-part", doc_id, part)))
+    return count(unit_hash(seed, doc_id)) + F.when(F.col("_parts") > 1, more).otherwise(0)
+
+
 def replicate(docs: DataFrame, rates: DataFrame, seed: str = "mix", by: str = "source", copy: str = "copy") -> DataFrame:
-    """Every document as often as its draw says, numbered from 1 in the column named by ``copy``."""
-    steps = materialize(rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate")).alias("_steps")))
-    drawn = docs.drop(copy).join(bounded_broadcast(steps), F.col(by).eqNullSafe(F.col("_source")), "left")
-    u = unit_hash(seed, F.col("doc_id"))
-    copies = F.size(F.filter("_steps", lambda c: c <= u))
-    drawn = drawn.withColumn("_copies", copies).where("_copies > 0").drop("_source", "_steps")
-    return drawn.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    """Every document as often as its draw says, numbered from 1 in the column named by ``copy``.
+
+    Documents with rates of several parts are dealt to tasks in blocks of copies, so that no task makes all copies of one.
+    """
+    parts = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("rate") / PART))
+    steps = materialize(rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate") / parts).alias("_steps"), parts.alias("_parts")))
+    rare = steps.where("_parts > 1")
+
+    def drawn(steps: DataFrame, draw: Column) -> DataFrame:
+        rows = docs.drop(copy).join(bounded_broadcast(steps), F.col(by).eqNullSafe(F.col("_source")))
+        return rows.withColumn("_copies", draw).where("_copies > 0").drop("_source", "_steps", "_parts")
+
+    usual = drawn(steps.where("_parts = 1"), F.size(F.filter("_steps", lambda c: c <= unit_hash(seed, F.col("doc_id")))))
+    usual = usual.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    if rare.isEmpty():
+        return usual
+    blocks = drawn(rare, _draw(seed)).withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"), F.lit(PART).cast("bigint"))))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that few blocks are not put together again
+    blocks = blocks.repartition(tasks, "doc_id", by, "_from")
+    block = F.sequence(F.col("_from"), F.least(F.col("_copies"), F.col("_from") + (PART - 1)))
+    copies = blocks.withColumn(copy, F.explode(block)).drop("_copies", "_from")
+    return usual.unionByName(copies.withColumn(copy, F.col(copy).cast("int")))
 
 
 _ORDER = ["_at", "doc_id", "_tie"]
@@ -95,4 +125,8 @@ def numbered(copies: DataFrame, seed: str = "mix") -> DataFrame:
 
 def mix(docs: DataFrame, by: str = "source", size: Column | None = None, weights: Mapping[str | None, float] | None = None, seed: str = "mix") -> DataFrame:
     """Documents mixed to the target weights and shuffled: their columns, ``copy`` and ``position``."""
-    return numbered(replicate(docs, source_rates(docs, by, size, weights), seed, by), seed)
+    rates = source_rates(docs, by, size, weights)
+    if weights is not None:
+        too_many = F.raise_error(F.lit(f"a mean of over {PART} copies per document"))
+        rates = rates.withColumn("rate", F.when(F.col("rate") > PART, too_many).otherwise(F.col("rate")))
+    return numbered(replicate(docs, rates, seed, by), seed)

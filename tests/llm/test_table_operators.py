@@ -1,5 +1,6 @@
 """Chat windows, shards, nearest neighbours, mixing and the pipeline."""
 
+import hashlib
 import itertools
 import math
 
@@ -162,6 +163,35 @@ def test_poisson_counts(spark):
         assert abs(counts[k] - 20000 * p) < 5 * math.sqrt(20000 * p)
 
 
+def test_mix_of_a_rare_source(spark):
+    """Rates over 500: exact counts by brute force, numbered without gaps, spread over tasks."""
+    rows = [(i, "common", "t") for i in range(5000)] + [(9000, None, "t"), (9001, "rare", "u")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    rates = mixing.source_rates(docs)
+    assert {r.source: r.rate for r in rates.collect()}[None] == pytest.approx(5002 / 3)
+    mixed = mixing.mix(docs).collect()
+    assert sorted(r.position for r in mixed) == list(range(len(mixed)))
+    point = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2.0**52
+    part = 5002 / 3 / 4
+    pmf = [math.exp(-part + k * math.log(part) - math.lgamma(k + 1)) for k in range(1000)]
+    cumulative = np.cumsum(pmf)
+    for doc_id in (9000, 9001):
+        points = [point(f"mix:{doc_id}"), *[point(f"mix-part:{doc_id}:{i}") for i in (2, 3, 4)]]
+        expected = sum(int((cumulative <= u).sum()) for u in points)
+        assert sorted(r.copy for r in mixed if r.doc_id == doc_id) == list(range(1, expected + 1))
+        assert abs(expected - 5002 / 3) < 5 * math.sqrt(5002 / 3)
+    tasks = mixing.replicate(docs, rates).where("doc_id = 9000").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 1500
+
+
+def test_large_poisson_counts(spark):
+    df = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"))
+    rates = spark.createDataFrame([("s", 1234.5)], "source string, rate double")
+    counts = [r["count"] for r in mixing.replicate(df, rates).groupBy("doc_id").count().collect()]
+    assert len(counts) == 2000 and abs(np.mean(counts) - 1234.5) < 5 * math.sqrt(1234.5 / 2000)
+    assert abs(np.var(counts) / 1234.5 - 1) < 5 * math.sqrt(2 / 2000)
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = np.random.default_rng(8)
     draw = lambda n: " ".join(f"w{rng.integers(900)}" for _ in range(n))
