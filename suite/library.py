@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pressroom.operators import library
+from pressroom.operators import library, near
 from suite import query
 from suite.views import clean_sql, documents, table
 
@@ -23,6 +23,25 @@ def canonical_articles(spark, sf_dir):
     return library.canonical_articles(d, ["content_hash", "url"], "doc_id")
 
 
+@query("b12_near_duplicate_articles", """with recursive d as (select doc_id, text, case when doc_id % 10 < 2 then doc_id // 10 end as url_key,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+  s as (select doc_id, case when len(ws) = 0 then cast([] as varchar[]) when len(ws) < 4 then [array_to_string(ws, ' ')]
+    else list_distinct([array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)]) end as sh from d),
+  g as (select doc_id, unnest(sh) as g from s),
+  p as (select x.doc_id as a, y.doc_id as b, count(*) as n from g x join g y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2),
+  near as (select a, b from p join s x on x.doc_id = a join s y on y.doc_id = b where 100 * n >= 80 * (len(x.sh) + len(y.sh) - n)),
+  e as (select a.doc_id as a, b.doc_id as b from d a join d b on a.text = b.text or a.url_key = b.url_key
+    union select a, b from near union select b, a from near),
+  reach(doc_id, other) as (select doc_id, doc_id from d union select r.doc_id, e.b from reach r join e on e.a = r.other)
+  select doc_id, min(other) as canonical_id from reach group by 1""")
+def near_duplicate_articles(spark, sf_dir):
+    """The same with near duplicates: four-word shingles at a Jaccard similarity of 0.8 or more, verified."""
+    url = F.when(F.col("doc_id") % 10 < 2, F.concat(F.lit("https://e.com/"), F.floor(F.col("doc_id") / 10)))
+    d = documents(spark, sf_dir)
+    keyed = d.select("doc_id", F.sha2("text", 256).alias("content_hash"), url.alias("url"))
+    return library.canonical_articles(keyed, ["content_hash", "url"], "doc_id", near.near_links(d, "doc_id", "text", words=4, percent=80))
+
+
 def _language_sql():
     counts = ", ".join(
         f"len(list_filter(w, lambda x: x in ({', '.join(repr(v) for v in listed)}))) as {name}" for name, listed in library.FUNCTION_WORDS.items())

@@ -1,9 +1,10 @@
 """What comes after ingestion, on cases with one right answer."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pressroom.operators import library
+from pressroom.operators import library, near
 from pressroom.operators.components import connected_components
 
 
@@ -23,6 +24,50 @@ def test_canonical_articles(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 1}
 
 
+def test_near_duplicates_against_brute_force(spark):
+    """Groups around one text, chains whose ends are unlike, copies, short, empty and null texts."""
+    rng = np.random.default_rng(3)
+    draw = lambda n: [f"w{rng.integers(500)}" for _ in range(n)]
+    texts = [" ".join(draw(40)) for _ in range(60)]
+    for _ in range(5):
+        words = draw(80)
+        for _ in range(20):
+            texts.append(" ".join(words))
+            words = list(words)
+            words[int(rng.integers(80))] = f"x{rng.integers(10**6)}"
+    hot = draw(60)
+    for i in range(80):
+        changed = list(hot)
+        changed[i % 60] = f"y{i}"
+        texts.append(" ".join(changed))
+    texts += [texts[0], texts[0].upper(), "a b", "A  b\n", "a", "", None, " "]
+    order = rng.permutation(len(texts))
+    rows = [(int(i), texts[j]) for i, j in enumerate(order)]
+    df = spark.createDataFrame(rows, "id bigint, text string").repartition(5)
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) > 0}
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    links = near.near_links(df, "id", "text")
+    assert {(r.a, r.b) for r in links.collect()} <= pairs
+    got = {r.id: r.canonical_id for r in library.canonical_articles(df, [], "id", links).collect()}
+    assert got == {i: find(i) for i in range(len(rows))}
+    assert near.near_links(df.where("false"), "id", "text").count() == 0
+
+
 def test_language(spark):
     texts = ["Der Hund und die Katze", "the end of it", "el perro que no", "le chat et les", "xyz", "", None, "die the"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(2)
