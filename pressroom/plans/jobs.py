@@ -20,10 +20,10 @@ def pages_with(pages: DataFrame, keys: DataFrame, url_hash: Column) -> DataFrame
     """The pages whose hash is among ``keys.url_hash``, told before anything looks into their HTML.
 
     The keys are written out first. Up to the broadcast limit they go to the pages; beyond it the pages that have a partner are
-    shuffled once.
+    shuffled once. A null hash among the keys stands for the pages without a URL.
     """
     wanted = materialize(keys.select(F.col("url_hash").alias("_wanted")).distinct())
-    return pages.join(bounded_broadcast(wanted), url_hash == F.col("_wanted"), "left_semi")
+    return pages.join(bounded_broadcast(wanted), url_hash.eqNullSafe(F.col("_wanted")), "left_semi")
 
 
 def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame, named: str | None = None) -> DataFrame:

@@ -105,3 +105,12 @@ def test_rules_reach_pages_without_a_broadcast_too(spark):
     pages = spark.createDataFrame([(i, html) for i in range(3)], "i int, html string").withColumn("rule_set", F.concat(F.lit("generic"), F.substring("html", 1, 0)))
     joined = extract.with_rules(pages, builtin_rules(spark))
     assert joined.filter(F.size("rules") > 5).count() == 3
+
+
+def test_pages_without_url_are_counted(spark):
+    html = "<html><body><h1>T</h1><p>text</p></body></html>"
+    rows = [("https://example.com/a/1.html", html), ("https://example.com/a/2.html", html), (None, html), (None, html)]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    known = spark.createDataFrame([(rows[0][0],)], "url string").select(jobs.U.url_hash_v1("url").alias("url_hash"))
+    got = jobs.new_page_quality(pages, known, builtin_sources(spark), builtin_rules(spark)).collect()
+    assert max(r.pages for r in got) == 3
