@@ -16,6 +16,7 @@ from pressroom.llm.lengths import length_histogram
 from pressroom.llm.mixing import mix
 from pressroom.llm.neardup import near_duplicates
 from pressroom.llm.ppm import score_documents
+from pressroom.llm.repair import DELETE, FINAL, INSERT, KEEPS, ONWARD, REROLE, TRUNCATED, repair, repair_digest
 from pressroom.llm.token_file import read_ids, write_ids
 from pressroom.llm.tokens import DEFAULT_TOKENIZER, tokenizer_path
 from pressroom.llm.toxicity import scored, train
@@ -156,3 +157,99 @@ def op5(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
     scores = score_documents(table(spark, sf_dir, "documents"), ~held_out)
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _crc32_sql(key: str) -> str:
+    """crc32 of an ASCII text; ``tab`` is the table of ``CRC_TABLE_SQL``."""
+    codes = f"list_transform(string_split({key}, ''), lambda ch: ascii(ch)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295::bigint)"
+
+
+CRC_TABLE_SQL = (
+    "select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), "
+    "lambda c, k: case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end)) as tab"
+)
+
+
+def _repair_sql() -> str:
+    """The least (cost, audit) of each state after each row, as a recursion over rows; ``r`` is the repaired text so far."""
+    names = ("user:", "assistant:")
+    reached: dict[int, list[str]] = {state: [] for state in range(4)}
+
+    def inserted(state: int, n: int) -> tuple[int, str]:
+        lines = ""
+        for _ in range(n):
+            state = ONWARD[state]
+            lines += names[state - 2] + "\n"
+        return state, lines
+
+    for state in range(4):
+        for n in range(3):
+            here, lines = inserted(state, n)
+            base = f"v.s{state}.c + {n * INSERT}", f"v.s{state}.a || '{'I' * n}", f"v.s{state}.r || '{lines}'"
+
+            def way(extra: str, letter: str, line: str, base=base) -> str:
+                return f"{{'c': {base[0]} + {extra}, 'a': {base[1]}{letter}', 'r': {base[2]}{line}}}"
+
+            reached[here].append(f"case when v.s{state} is not null then {way(str(DELETE), 'D', '')} end")
+            stays = f"case when f.fault = 'truncated' then {TRUNCATED} else 0 end"
+            open_ = f"v.s{state} is not null and f.fault not in ('blank', 'duplicate')"
+            onward = ONWARD[here]
+            reached[onward].append(f"case when {open_} then {way(f'{REROLE} + {stays}', 'R', f""" || '{names[onward - 2]}' || f.text || chr(10)""")} end")
+            for (a, letter), b in KEEPS.items():
+                if a == here:
+                    kept = way(stays, "K", " || f.role || ':' || f.text || chr(10)")
+                    reached[b].append(f"case when {open_} and f.role[1] = '{letter}' then {kept} end")
+    step = ", ".join(f"list_min([{', '.join(ways)}]) as s{state}" for state, ways in reached.items())
+    ends = ", ".join(
+        f"case when s{state} is not null then {{'c': s{state}.c + {n * INSERT}, 'a': s{state}.a || '{'I' * n}', 'r': s{state}.r || '{inserted(state, n)[1]}'}} end"
+        for state, n in FINAL.items()
+    )
+    start = "{'c': 0, 'a': '', 'r': ''}"
+    nothing = ", ".join(f"null::struct(c integer, a varchar, r varchar) as s{state}" for state in range(1, 4))
+    return rf"""
+with recursive t as ({CRC_TABLE_SQL}),
+k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  {_crc32_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as hit from conversations, t),
+d as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+  case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+  unnest(range(case hit when 0 then 0 when 3 then 2 else 1 end)) as copy from k),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as seq from d),
+f as (select *, case when not regexp_matches(text, '[^ 	-]') then 'blank'
+  when row_number() over (partition by conv_id, role, text order by seq) > 1 then 'duplicate'
+  when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' else '' end as fault,
+  lag(role[1]) over (partition by conv_id order by seq) || role[1] as pair from o),
+v as (
+  select conv_id, 0::bigint as seq, {start} as s0, {nothing} from (select distinct conv_id from f)
+  union all
+  select v.conv_id, f.seq, {step} from v join f on f.conv_id is not distinct from v.conv_id and f.seq = v.seq + 1),
+last as (select conv_id, list_min([{ends}]) as best from v qualify row_number() over (partition by conv_id order by seq desc) = 1),
+g as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+  count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+  count(*) filter (pair not in ('su', 'ua', 'au')) as illegal from f group by 1)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(best.c, 0)::bigint as cost,
+  coalesce(best.a, '') as audit, sha256(case when coalesce(best.r, '') = '' then '' else best.r[:-2] end) as repaired_sha256
+from (select distinct conv_id from conversations) c left join g on g.conv_id is not distinct from c.conv_id
+  left join last on last.conv_id is not distinct from c.conv_id"""
+
+
+@query("op11_conversation_repair", _repair_sql())
+def op11(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    hit = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
+    text = F.when(hit == 1, "").when(hit == 2, F.regexp_replace(part("text"), "[.!?]", "")).otherwise(part("text"))
+    copies = F.when(hit == 0, 0).when(hit == 3, 2).otherwise(1)
+    damaged = rows.select(
+        "conv_id", "turn", F.when(hit == 4, "user").otherwise(part("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    )
+    found = repair_digest(repair(damaged))
+    every = rows.select(F.col("conv_id").alias("_c")).distinct()
+    joined = every.join(found, F.col("_c").eqNullSafe(F.col("conv_id")), "left")
+    zero = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return joined.select(
+        F.col("_c").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
+    )
