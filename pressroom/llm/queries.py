@@ -12,7 +12,9 @@ from pressroom.llm.ann import nearest
 from pressroom.llm.chat import conversation_digest, format_windows
 from pressroom.llm.decontaminate import contaminated
 from pressroom.llm.hilbert import hilbert_shards
+from pressroom.llm.infill import fill_in_middle, restore
 from pressroom.llm.lengths import length_histogram
+from pressroom.llm.license_scan import RARE, TEMPLATES, labels_of, scan
 from pressroom.llm.mixing import mix
 from pressroom.llm.neardup import near_duplicates
 from pressroom.llm.ppm import score_documents
@@ -215,9 +217,9 @@ d as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
   case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
   unnest(range(case hit when 0 then 0 when 3 then 2 else 1 end)) as copy from k),
 o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as seq from d),
-f as (select *, case when not regexp_matches(text, '[^ 	-]') then 'blank'
+f as (select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
   when row_number() over (partition by conv_id, role, text order by seq) > 1 then 'duplicate'
-  when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' else '' end as fault,
+  when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault,
   lag(role[1]) over (partition by conv_id order by seq) || role[1] as pair from o),
 v as (
   select conv_id, 0::bigint as seq, {start} as s0, {nothing} from (select distinct conv_id from f)
@@ -253,3 +255,67 @@ def op11(spark, sf_dir):
     return joined.select(
         F.col("_c").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
     )
+
+
+@query("op12_fill_in_middle", r"""
+with h as (select *, coalesce(text, '') as t, sha256('42:' || coalesce(doc_id::varchar, '')) as digest from documents),
+u as (select *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as units,
+  list_transform([1, 9, 17, 25], lambda i: ('0x' || digest[i:i + 7])::bigint) as h from h),
+c as (select *, len(units) as n, h[1] % (len(units) + 1) as x, h[2] % (len(units) + 1) as y,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 50 then 'plain'
+    when h[4] % 100 < 80 then 'spm' else 'psm' end as form from u),
+p as (select *, array_to_string(units[1:least(x, y)], '') as head, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') as mid,
+  array_to_string(units[greatest(x, y) + 1:], '') as tail from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(head) end::bigint as prefix_chars,
+  case when form <> 'plain' then length(mid) end::bigint as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || head || '<S>' || tail || '<M>' || mid
+    else '<S>' || tail || '<P>' || head || '<M>' || mid end) as output_sha256, sha256(t) as restored_sha256
+from p""")
+def op12(spark, sf_dir):
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def _license_sql() -> str:
+    """Words of every document joined with the templates' words; the rarest of each template are its postings."""
+    templates = ", ".join(f"({i}, '{t.label}', {t.base}, {len(t.required) == len(t.words)}, {len(t.words)})" for i, t in enumerate(TEMPLATES))
+    words = ", ".join(f"({i}, {j}, '{w}', {j in t.required})" for i, t in enumerate(TEMPLATES) for j, w in enumerate(t.words))
+    return rf"""
+with t(t, label, base, whole, size) as (values {templates}),
+tw(t, i, word, required) as (values {words}),
+docs as (select row_number() over () as r, doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+w as (select r, unnest(ws) as word, generate_subscripts(ws, 1) - 1 as pos from docs),
+df as (select word, count(distinct r) as n from w where word in (select word from tw) group by 1),
+ranked as (select tw.*, whole, dense_rank() over (partition by t order by coalesce(n, 0), word) as place,
+  row_number() over (partition by t, word order by i) as nth from tw join t using (t) left join df using (word)),
+postings as (select * from ranked where case when whole then place = 1 and nth = 1 else place <= {RARE} end),
+need as (select t, (count(*) + 1) // 2 as need from postings group by 1),
+c as (select r, p.t, pos - i as start, count(*) as votes from w join postings p using (word) group by all),
+stands as (select c.r, c.t, c.start, count(*) filter (tw.required) as required, count(*) as hits
+  from c join need using (t) join tw on tw.t = c.t join w on w.r = c.r and w.pos = c.start + tw.i and w.word = tw.word
+  where votes >= need group by all),
+places as (select r, start, label, base, hits / size as score from stands join t using (t)
+  where required = (select count(*) from tw where tw.t = t.t and tw.required)),
+found as (select r, count(*) filter (base) as n_base, min(start) filter (base) as first_word, max(start) filter (base) as last_word,
+  array_to_string(list_sort(list_distinct(list(label) filter (base))), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list(label))), ',') as labels, max(score) as score from places group by 1)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from docs left join found using (r)"""
+
+
+@query("op13_license_scan", _license_sql())
+def op13(spark, sf_dir):
+    found = scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"].cast("bigint"))
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels_of(base).alias("base_labels"), labels_of(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"),
+    )
