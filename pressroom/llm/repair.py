@@ -8,9 +8,9 @@ The cheapest list of edits wins, among equal ones the one that is least as a str
 Between two rows a conversation is in one of four states (nothing yet, after the system turn, after a user, after an assistant), and
 each state has one survivor, the best edits that lead there. Survivors are leaves of a tree of back pointers. A node counts the
 nodes that hang on it: one that nothing hangs on any more goes, with its row, and when the root has a single child left, all survivors
-share it, so its edits are final and go out. What a task holds is thus the rows since the survivors' last common ancestor, not a
-conversation. A survivor goes early when another one, at the price of the edits that make up for the difference of states, is
-cheaper still.
+share it, so its edits are final and go out. What a task holds is thus the rows since the survivors' last common ancestor: a few in a conversation
+with some order, all of them where it stays open to the end who speaks first (a thousand user turns). A survivor goes early when another one, at the
+price of the edits that make up for the difference of states, is cheaper still.
 
 Ties are decided on the complete unresolved edits of both survivors. Their order never has to be read from the tree: survivors end with the
 letter of the same row, so none is the beginning of another, and whatever is appended, two survivors stay in the order they are in.
