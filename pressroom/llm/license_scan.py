@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: All other ASCII characters.
+BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 #: Words of a template that are indexed.
 RARE = 4
 
@@ -87,7 +89,8 @@ TEMPLATES = (
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text.cast("string"), F.lit("")), CAPITALS, SMALL), F.lit(WORD), F.lit(0))
+    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), CAPITALS + BETWEEN, SMALL + " " * len(BETWEEN))
+    return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
 def _known(words: Column, vocabulary: list[str]) -> Column:
