@@ -9,11 +9,7 @@ from pressroom.functions import ids
 from pressroom.functions.text import blank_to_null, iso_timestamp
 from pressroom.functions.urls import content_hash, url_hash_v1
 from pressroom.operators.quality import compatible_view, is_blank
-
-
-def _relative_key(root: str) -> Column:
-    prefix = "^.*?" + root.rstrip("/").replace(".", r"\.") + "/"
-    return F.url_decode(F.regexp_replace(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")), prefix, ""))
+from pressroom.sources.objects import read_objects, write_objects
 
 
 def read_metadata(spark: SparkSession, root: str, folder: str = "crawl_data/metadata") -> DataFrame:
@@ -21,12 +17,9 @@ def read_metadata(spark: SparkSession, root: str, folder: str = "crawl_data/meta
 
     Sidecars whose top level is not an object are left out; unreadable ones stay, with null fields.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(
-        f"{root.rstrip('/')}/{folder}", wholetext=True)
-    documents = files.select(
-        _relative_key(root).alias("metadata_path"), F.col("_metadata.file_modification_time").alias("modified_at"),
-        F.col("value").alias("json"),
-    ).withColumn("readable", F.try_parse_json("json").isNotNull())
+    files = read_objects(spark, root, folder, ".json", text=True)
+    documents = files.select(F.col("key").alias("metadata_path"), "modified_at", F.col("text").alias("json")).withColumn(
+        "readable", F.try_parse_json("json").isNotNull())
     objects = documents.filter(~F.col("readable") | F.schema_of_variant(F.try_parse_json("json")).startswith("OBJECT"))
     return compatible_view(objects)
 
@@ -42,13 +35,20 @@ def artifact_keys(metadata: DataFrame) -> DataFrame:
 
 
 def read_raw_html(spark: SparkSession, root: str, folder: str = "crawl_data/raw") -> DataFrame:
-    """Raw objects with their key and the hash of the decompressed bytes. Only referenced columns are computed."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html.gz").text(
-        f"{root.rstrip('/')}/{folder}", wholetext=True)
-    return files.select(
-        _relative_key(root).alias("raw_object_key"), content_hash("value").alias("content_hash"),
-        F.octet_length(F.col("value").cast("binary")).alias("size_bytes"),
-    )
+    """Raw objects with their key, and the hash and size of the decompressed bytes (null if damaged)."""
+    files = read_objects(spark, root, folder, ".html.gz")
+    return files.select(F.col("key").alias("raw_object_key"), "content_hash", "size_bytes")
+
+
+def write_raw_html(rows: DataFrame, root: str, html: str = "html") -> None:
+    """Write each page that has a ``raw_object_key`` to an object of its own."""
+    stored = rows.filter(F.col("raw_object_key").isNotNull())
+    write_objects(stored.select(F.col("raw_object_key").alias("key"), F.col(html).alias("body")), root)
+
+
+def _relative_key(root: str) -> Column:
+    prefix = "^.*?" + root.rstrip("/").replace(".", r"\.") + "/"
+    return F.url_decode(F.regexp_replace(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")), prefix, ""))
 
 
 def raw_object_keys(spark: SparkSession, root: str, folder: str = "crawl_data/raw") -> DataFrame:

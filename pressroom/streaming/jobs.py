@@ -1,12 +1,13 @@
 """Landing files in, new URLs and idempotent rows out.
 
-Every sink is a ``foreachBatch`` whose effect depends on the batch content and id only, so a replayed
-batch after a lost driver leaves the tables as they were.
+What is new is told by state (``state``), and new rows go to the file sink, which commits a batch once. Every other sink is a ``foreachBatch``
+whose effect depends on the batch content and id only. Either way a replayed batch after a lost driver leaves the tables as they were.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pressroom.functions import urls as U
 from pressroom.operators.dedupe import pick_first
 from pressroom.operators.reports import SKIPPED
 from pressroom.sources.rawdata import _exists, merge_into_storage
+from pressroom.streaming.state import first_sightings
 
 
 def landing_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int = 100) -> DataFrame:
@@ -31,7 +33,10 @@ def _without_own_batch(spark: SparkSession, table: str, batch_id: int) -> DataFr
 
 
 def append_new_urls(batch: DataFrame, batch_id: int, table: str) -> None:
-    """Append the URLs of a batch the table does not hold yet; ``batch`` has ``source_name`` and ``url``."""
+    """Append the URLs of a batch the table does not hold yet; ``batch`` has ``source_name`` and ``url``.
+
+    For a batch now and then: it is compared with the whole table. Streams keep state instead.
+    """
     spark = batch.sparkSession
     hashed = batch.withColumn("url_hash", U.short_hash("url"))
     order = [c for c in ("position",) if c in batch.columns] or ["url"]
@@ -44,18 +49,33 @@ def append_new_urls(batch: DataFrame, batch_id: int, table: str) -> None:
         "batch_id").parquet(table)
 
 
-def stream_discover(landing: DataFrame, discover: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> DataStreamWriter:
-    """Run a batch discovery on every micro-batch of landing rows and keep the URLs that are new."""
+def stream_discover(landing: DataFrame, discover: Callable[[DataFrame], DataFrame], links: str, checkpoint: str) -> DataStreamWriter:
+    """Run a batch discovery on every micro-batch of landing rows; what it finds goes to ``links``, a folder for each batch.
+
+    Discovery compares the rows of a batch with each other, which no streaming query can; so what is new is told by a second stream over
+    ``links``, see ``link_stream``.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        append_new_urls(discover(batch), batch_id, table)
+        discover(batch).write.mode("overwrite").parquet(f"{links.rstrip('/')}/{batch_id}")
 
     return landing.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
 
 
-def stream_dedupe(candidates: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
-    """Exact form: anti-join of each batch against everything seen before."""
-    return candidates.writeStream.foreachBatch(lambda b, i: append_new_urls(b, i, table)).option("checkpointLocation", checkpoint)
+def link_stream(spark: SparkSession, landing: DataFrame, discover: Callable[[DataFrame], DataFrame], links: str, files_per_trigger: int = 100) -> DataFrame:
+    """What ``stream_discover`` finds, as a stream. A replayed batch replaces its files; files that went before they were read are passed over, and the
+    rows of their successors are known or new like any others."""
+    found = discover(spark.createDataFrame([], landing.schema)).schema
+    reader = spark.readStream.schema(found).option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+    return reader.option("maxFilesPerTrigger", str(files_per_trigger)).parquet(links)
+
+
+def stream_dedupe(
+    candidates: DataFrame, table: str, checkpoint: str, order: list[str] | None = None, ttl: timedelta | None = None, known: DataFrame | None = None
+) -> DataStreamWriter:
+    """Append to ``table`` each URL that its source has not had yet (see ``first_sightings``). The table itself is never read."""
+    fresh = first_sightings(candidates, order, ttl, known)
+    return fresh.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).outputMode("append")
 
 
 def dedupe_within(candidates: DataFrame, delay: str = "2 days", time: str = "fetched_at") -> DataFrame:

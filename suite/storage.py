@@ -10,7 +10,7 @@ from pressroom.functions import urls as U
 from pressroom.plans.jobs import crawl_articles
 from pressroom.schemas import RAWDATA_COLUMNS
 from pressroom.session import ensure_checkpoint_dir
-from pressroom.sources import artifacts, config, rawdata
+from pressroom.sources import artifacts, config, objects, rawdata
 from suite import query
 from suite.articles import H1, _metadata_documents
 from suite.lookups import _rawdata
@@ -22,9 +22,22 @@ def work_dir(spark) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/suite-{uuid.uuid4().hex}"
 
 
-@query("s1_read_metadata", """select case when event_id % 8 in (1, 5, 7) then null else concat('https://e.com/', event_id) end as url, event_id % 8 <> 7 as readable,
-  cast(case event_id % 8 when 1 then 1 when 5 then null when 7 then null else 2 end as integer) as schema_version from events""")
+_SIDECARS = """select case when event_id % 8 in (1, 5, 7) then null else concat('https://e.com/', event_id) end as url, event_id % 8 <> 7 as readable,
+  cast(case event_id % 8 when 1 then 1 when 5 then null when 7 then null else 2 end as integer) as schema_version from events"""
+
+
+@query("s1_read_metadata", _SIDECARS)
 def read_metadata(spark, sf_dir):
+    """Sidecars written by the tasks, a file each, then listed, read and checked."""
+    folder = work_dir(spark)
+    documents = _metadata_documents(spark, sf_dir)
+    key = F.concat(F.lit("crawl_data/metadata/site/"), F.pmod("event_id", F.lit(20)), F.lit("/"), "event_id", F.lit(".json"))
+    objects.write_objects(documents.select(key.alias("key"), F.col("json").alias("body")), folder)
+    return artifacts.read_metadata(spark, folder).select("url", "readable", "schema_version")
+
+
+@query("s1_read_metadata_lines", _SIDECARS)
+def read_metadata_lines(spark, sf_dir):
     """Sidecars written out as one document per line, then read and checked like single files."""
     folder = work_dir(spark)
     _metadata_documents(spark, sf_dir).select("json").write.text(folder)
@@ -45,9 +58,30 @@ _KEYS = f"""k as (select page_id, html, {PAGE_V1} as u, timestamp '2024-01-01 00
   a as (select page_id, html, u, concat('site_', page_id % 3) as source, seen, concat(strftime(seen + interval 7 hour, '%Y/%m/%d'), '/', substr(sha256(u), 1, 16), '_', strftime(seen, '%H%M%S_%f')) as name from k)"""
 
 
-@query("s2_read_raw_html", f"""with {_KEYS} select concat('crawl_data/raw/', source, '/', name, '.html.gz') as raw_object_key, sha256(html) as content_hash,
-  cast(strlen(html) as bigint) as size_bytes from a where page_id % 10 <> 0""")
+_RAW = f"""with {_KEYS} select concat('crawl_data/raw/', source, '/', name, '.html.gz') as raw_object_key, sha256(html) as content_hash,
+  cast(strlen(html) as bigint) as size_bytes from a where page_id % 10 <> 0"""
+
+
+@query("s2_read_raw_html", _RAW)
 def read_raw_html(spark, sf_dir):
+    """Pages written by the tasks as gzip objects, then listed, decompressed and hashed."""
+    folder = work_dir(spark)
+    artifacts.write_raw_html(artifacts.artifact_rows(_crawled(spark, sf_dir), "Asia/Ho_Chi_Minh"), folder)
+    return artifacts.read_raw_html(spark, folder)
+
+
+@query("s2_read_raw_html_of_a_day", f"""with {_KEYS} select concat('crawl_data/raw/', source, '/', name, '.html.gz') as raw_object_key, sha256(html) as content_hash
+  from a where page_id % 10 <> 0 and source = 'site_1' and name like '2024/01/01/%'""")
+def read_raw_html_of_a_day(spark, sf_dir):
+    """Objects of one source and day: the beginning of the key chooses the folder, no other is listed."""
+    folder = work_dir(spark)
+    artifacts.write_raw_html(artifacts.artifact_rows(_crawled(spark, sf_dir), "Asia/Ho_Chi_Minh"), folder)
+    return artifacts.read_raw_html(spark, folder).where(F.startswith("raw_object_key", F.lit("crawl_data/raw/site_1/2024/01/01/"))).select("raw_object_key", "content_hash")
+
+
+@query("s2_read_raw_table", _RAW)
+def read_raw_table(spark, sf_dir):
+    """The same from the columnar store."""
     folder = work_dir(spark)
     artifacts.write_artifacts(artifacts.artifact_rows(_crawled(spark, sf_dir), "Asia/Ho_Chi_Minh"), folder)
     return artifacts.read_raw_table(spark, folder)

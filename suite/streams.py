@@ -38,8 +38,11 @@ def stream_discover(spark, sf_dir):
     listings.repartitionByRange(4, "listing_pos").write.parquet(f"{folder}/landing")
     sources = _listing_sources(spark)
     landing = jobs.landing_stream(spark, f"{folder}/landing", listings.schema.simpleString()[7:-1].replace(":", " "), files_per_trigger=2)
-    _run(jobs.stream_discover(landing, lambda batch: discover.discover_listing(batch, sources), f"{folder}/urls", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/urls").select("source_name", "url")
+    find = lambda batch: discover.discover_listing(batch, sources)
+    _run(jobs.stream_discover(landing, find, f"{folder}/links", f"{folder}/checkpoint"))
+    links = jobs.link_stream(spark, landing, find, f"{folder}/links", files_per_trigger=8)
+    _run(jobs.stream_dedupe(links, f"{folder}/urls", f"{folder}/checkpoint-links"))
+    return spark.read.schema("source_name string, url string").parquet(f"{folder}/urls")
 
 
 @query("r2_stream_dedupe", f"with {LOG} select concat('s', source_id) as source_name, url, substr(sha256(url), 1, 16) as url_hash from log group by source_id, url")
@@ -49,7 +52,7 @@ def stream_dedupe(spark, sf_dir):
     seen = jobs.landing_stream(spark, path, LOG_SCHEMA, files_per_trigger=3)
     candidates = seen.select(F.concat(F.lit("s"), "source_id").alias("source_name"), U.normalize_v1("url").alias("url"))
     _run(jobs.stream_dedupe(candidates, f"{folder}/urls", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/urls").select("source_name", "url", "url_hash")
+    return spark.read.schema("source_name string, url string, url_hash string").parquet(f"{folder}/urls")
 
 
 @query("r2_stream_dedupe_bounded", f"with {LOG} select concat('s', source_id) as source_name, url from log group by source_id, url")

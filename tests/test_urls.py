@@ -33,8 +33,8 @@ def expected_v2(url):
 
 
 SPECIAL = [
-    " HTTPS://EXAMPLE.COM:443/news?id=10&utm_source=feed#comments ", "https://example.com", "https://example.com/category/",
-    "", "example.com/article", "ftp://example.com/a", "HTTP://e.com/a?b&c=&=d&&x=1;2", "http://u:p@e.com:8080/a b?q=a*b~c+d%20é%zz",
+    "\tHttps://News.Example.ORG:443/p/7?page=2&utm_medium=mail#top ", "https://news.example.org", "https://news.example.org/world/",
+    "", "news.example.org/p", "ftp://news.example.org/f", "HTTP://e.com/a?b&c=&=d&&x=1;2", "http://u:p@e.com:8080/a b?q=a*b~c+d%20é%zz",
     "http://[::1]:80/x", "http://[2001:DB8::1]:8080", "http://e.com:99999/", "http://e.com:ab/", "http://:80/", "http://e.com:/a",
     "https://e.com:080/?UTM_Source=1&a=2", "http://e.com/a?b=c=d", "//h/p", "/p?x=1", "http://e.com/a?x=1&x=2&x=1",
     " http://e.com/a ", "http://e.com/a?utm_source=1", "http://e.com/?fbclid=1&gclid=2#x", "http://e.com/a\tb", "http://user@e.com/",
