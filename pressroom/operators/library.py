@@ -1,4 +1,7 @@
-"""What comes after ingestion: canonical articles, language, chunks, lexical, vector and hybrid ranking."""
+"""What comes after ingestion: canonical articles, language, chunks, fusion of given rankings.
+
+Lexical, vector and hybrid search are in ``lexical``, ``vectors`` and ``hybrid``.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,6 @@ from pyspark.sql import functions as F
 from pressroom.functions.text import clean_text
 from pressroom.functions.urls import let
 from pressroom.operators.components import connected_components
-from pressroom.session import bounded_broadcast, materialize
 
 # Frequent function words by language.
 FUNCTION_WORDS = {
@@ -18,8 +20,6 @@ FUNCTION_WORDS = {
     "es": ["el", "que", "y", "los", "del", "las", "por", "con", "una", "no"],
     "fr": ["le", "et", "les", "des", "du", "est", "dans", "qui", "une", "pas"],
 }
-#: Queries that travel together to a partition of vectors.
-QUERY_BLOCK = 256
 
 
 def canonical_articles(articles: DataFrame, keys: list[str], article_id: str = "article_id", links: DataFrame | None = None) -> DataFrame:
@@ -71,58 +71,6 @@ def chunk_articles(articles: DataFrame, size: int = 200, overlap: int = 40, arti
     return each.select(article_id, "chunk_no", F.size("_c").alias("n_words"), F.array_join("_c", " ").alias("chunk"))
 
 
-def bm25_search(articles: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, article_id: str = "article_id", text: str = "content") -> DataFrame:
-    """query_id, rank, article_id and score of the ``k`` best articles per query (query_id, query).
-
-    Document frequencies and lengths count all articles. Only words that some query asks for become postings, counted in each map
-    task before the shuffle. Scores are rounded to 6 places, ties go to the smaller id.
-    """
-    terms = materialize(queries.select("query_id", F.explode(F.array_distinct(words_of("query"))).alias("term")))
-    asked = bounded_broadcast(terms.select("term").distinct())
-    tokens = articles.select(F.col(article_id), words_of(text).alias("_w"))
-    lengths = tokens.select(article_id, F.coalesce(F.size("_w"), F.lit(0)).alias("n_words"))
-    totals = lengths.agg(F.count("*").alias("n_docs"), F.avg("n_words").alias("mean"))  # one row
-    postings = tokens.select(article_id, F.size("_w").alias("n_words"), F.explode("_w").alias("term")).join(asked, "term", "left_semi")
-    postings = materialize(postings.groupBy("term", article_id).agg(F.count("*").alias("tf"), F.first("n_words").alias("n_words")))
-    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
-    weighed = postings.join(bounded_broadcast(frequency), "term").crossJoin(F.broadcast(totals))
-    idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.lit(k1) * (1 - b + b * F.col("n_words") / F.col("mean"))
-    weighed = weighed.select("term", article_id, (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("part"))
-    scored = weighed.join(bounded_broadcast(terms), "term").groupBy("query_id", article_id).agg(F.round(F.sum("part"), 6).alias("score"))
-    return _top(scored, k, article_id)
-
-
-def _top(scored: DataFrame, k: int, article_id: str) -> DataFrame:
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), article_id)
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", article_id, "score")
-
-
-def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, article_id: str = "article_id", vector: str = "embedding") -> DataFrame:
-    """query_id, rank, article_id and score (cosine, rounded to 6 places) of the ``k`` nearest vectors per query (query_id, embedding).
-
-    Exact: every query meets every vector, the queries in blocks that travel to the vectors. Nulls, zero vectors and other lengths
-    take no part; a query's own id is not excluded.
-    """
-
-    def norm(v):
-        return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-
-    def dot(x, y):
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, p: s + p)
-
-    def clean(df, key, name):
-        return df.select(F.col(key).alias(key), F.col(name).alias("_v"), norm(F.col(name)).alias("_n")).where("_n > 0")
-
-    own = clean(queries, "query_id", "embedding").select(F.struct("query_id", "_v", "_n").alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(64)).alias("_h"))
-    numbered = own.withColumn("_i", F.row_number().over(W.partitionBy("_h").orderBy("q.query_id")))
-    blocks = numbered.groupBy("_h", F.floor(F.col("_i") / QUERY_BLOCK).alias("_b")).agg(F.collect_list("q").alias("_queries"))
-    pairs = clean(vectors, article_id, vector).crossJoin(bounded_broadcast(materialize(blocks.select("_queries"))))
-    met = pairs.select(article_id, "_v", "_n", F.explode("_queries").alias("q")).where(F.size("_v") == F.size("q._v"))
-    scored = met.select("q.query_id", article_id, F.round(dot(F.col("_v"), F.col("q._v")) / (F.col("_n") * F.col("q._n")), 6).alias("score"))
-    return _top(scored, k, article_id)
-
-
 def hybrid_rank(lexical: DataFrame, vector: DataFrame, k: int = 10, damping: int = 60, article_id: str = "article_id") -> DataFrame:
     """Reciprocal-rank fusion of two rankings (query_id, rank, article_id): an article's score is the sum of 1 / (damping + rank)."""
     a = lexical.select("query_id", article_id, F.col("rank").alias("lexical_rank"))

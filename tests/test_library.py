@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pressroom.operators import library, near
+from pressroom.operators import library, near, vectors
 from pressroom.operators.components import connected_components
 
 
@@ -97,7 +97,7 @@ def test_chunks_cover_every_word(spark):
 
 def test_vectors_that_take_no_part(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0]), (5, [2.0, 2.0])], "article_id int, embedding array<float>")
-    got = [(r.rank, r.article_id, r.score) for r in library.vector_topk(v, v.where("article_id = 1").withColumnRenamed("article_id", "query_id"), 3).collect()]
+    got = [(r.rank, r.article_id, r.score) for r in vectors.vector_topk(v, v.where("article_id = 1").withColumnRenamed("article_id", "query_id"), 3).collect()]
     assert sorted(got) == [(1, 1, 1.0), (2, 5, 0.707107)]
 
 
