@@ -1,20 +1,34 @@
-"""Pairs of near-duplicate texts, for canonical articles: banded min-hash equi-join, every pair verified on its full sets.
+"""Pairs of near-duplicate texts, for canonical articles: banded min-hash buckets, then a prefix join where a bucket is mixed.
 
 A text is the set of its runs of ``words`` words (a shorter text is one run), ASCII capitals lowered; texts without words match
-nothing. Links are enough to reach every near duplicate, they are not all pairs: of texts with equal sets each is linked to the
-smallest id, of a bucket first each to its smallest id, and pairs that are reachable by then are not looked at again.
+nothing. Links are enough to reach every near duplicate, they are not all pairs. They come in steps, each verified on full sets, with what is
+connected so far contracted in between:
+
+1. Of texts with equal sets each is linked to the smallest id.
+2. Each text is compared with the first text of one bucket, the one it shares most buckets with. That joins a group of copies, however large.
+3. Buckets that still span several components are not compared member by member: a bucket of boilerplate may hold a third of all texts and
+   no near duplicate. Their texts go through an exact set-similarity join instead. Shingles are put in one order, rare before frequent
+   (frequencies from a table of ``1 << SLOTS`` counters). Two sets that are similar enough share a shingle among the first few of each, how few depends on both
+   sizes; so a set is filed under its first shingles once for each class of sizes its partner can have. What boilerplate has in common comes
+   last in the order, and is filed only where the boilerplate is nearly all of a text, and then the texts are near duplicates.
+   Of a shingle that several components share, first neighbouring components are compared by one text each, twice; then, among what is still
+   apart, all texts of different components. Large groups are cut into blocks, each pair of blocks is a key of its own.
+
 One pass over the texts leaves band keys only; sets are made again for texts of candidate pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressroom.operators.components import connected_components
@@ -27,6 +41,8 @@ TEXTS, PIECE, REMEMBERED = 256, 1 << 18, 1 << 18
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _WORD = re.compile(rb"[^ \x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Counters for the order of shingles, as a power of two; texts of one size class differ by less than this factor; texts of a block.
+SLOTS, CLASS, BLOCK = 18, 1.05, 512
 
 
 class _Hashes(dict):
@@ -75,6 +91,34 @@ def _lists(values: np.ndarray, sizes: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values.view(np.int64)))
 
 
+@lru_cache(1 << 16)
+def size_class(n: int) -> int:
+    return int(math.log(n) / math.log(CLASS))
+
+
+@lru_cache(1 << 16)
+def _least_of(size: int) -> int:
+    """The smallest set size of a class."""
+    n = max(1, math.ceil(CLASS**size) - 2)
+    while size_class(n) < size:
+        n += 1
+    while n > 1 and size_class(n - 1) >= size:
+        n -= 1
+    return n
+
+
+@lru_cache(1 << 16)
+def prefixes(n: int, percent: int) -> list[tuple[int, int]]:
+    """(class, length): how many of its first shingles a set of ``n`` has to be filed under for partners of each class of sizes."""
+    low, high = -(-percent * n // 100), 100 * n // percent
+    out = []
+    for size in range(size_class(low), size_class(high) + 1):
+        partner = max(low, _least_of(size))
+        if partner <= high:
+            out.append((size, n - -(-percent * (n + partner) // (100 + percent)) + 1))
+    return out
+
+
 def near_links(articles: DataFrame, article_id: str = "article_id", text: Column | str = "text", words: int = 4, percent: int = 80) -> DataFrame:
     """(a, b) with a < b: verified pairs of a Jaccard similarity of ``percent`` or more, from which all others can be reached."""
     text = F.col(text) if isinstance(text, str) else text
@@ -103,16 +147,69 @@ def near_links(articles: DataFrame, article_id: str = "article_id", text: Column
         for ids, sets in _sets(batches, words):
             yield pa.RecordBatch.from_arrays([ids, _lists(np.concatenate(sets), [len(x) for x in sets])], ["id", "shingles"])
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def sets_of(ids: DataFrame) -> DataFrame:
+        rows = texts.join(bounded_broadcast(ids), "id", "left_semi")
+        return materialize(rows.mapInArrow(shingled, f"id {kind}, shingles array<bigint>").dropDuplicates(["id"]))
+
+    def verified(pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         pairs = materialize(pairs)
-        wanted = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        rows = texts.join(bounded_broadcast(wanted), "id", "left_semi")
-        sets = materialize(rows.mapInArrow(shingled, f"id {kind}, shingles array<bigint>"))
+        if sets is None:
+            sets = sets_of(materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
         left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_a"))
         right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("_a").alias("_m"), F.size("_b").alias("_n"), F.size(F.array_intersect("_a", "_b")).alias("_both"))
         return both.where(F.col("_both") * 100 >= (F.col("_m") + F.col("_n") - F.col("_both")) * percent).select("a", "b").distinct()
 
+    def filed(sets: DataFrame) -> DataFrame:
+        """(key, id) of the first shingles of every set."""
+        slot = F.shiftrightunsigned("shingle", 64 - SLOTS)
+        counted = sets.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).toArrow()
+        frequency = np.zeros(1 << SLOTS, np.int64)  # as many numbers at any size of the input
+        frequency[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TEXTS):
+                    part = batch.slice(at, TEXTS)
+                    keys: list[np.ndarray] = []
+                    for own in part.column("shingles"):
+                        values = own.values.to_numpy().view(np.uint64)
+                        order = np.lexsort((values, frequency[(values >> np.uint64(64 - SLOTS)).astype(np.int64)]))
+                        ranked = values[order[: len(values) - -(-percent * len(values) // 100) + 1]]
+                        mine = size_class(len(values))
+                        made = [(ranked[:length] ^ np.uint64(min(size, mine) << 20 | max(size, mine))) * _MIX for size, length in prefixes(len(values), percent)]
+                        keys.append(np.concatenate(made))
+                    sizes = [len(x) for x in keys]
+                    ids = part.column("id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+                    flat = np.concatenate([*keys, np.zeros(0, np.uint64)])
+                    yield pa.RecordBatch.from_arrays([pa.array((flat ^ flat >> np.uint64(32)).view(np.int64)), ids], ["key", "id"])
+
+        return sets.mapInArrow(run, f"key bigint, id {kind}")
+
+    def apart(keys: DataFrame, found: DataFrame) -> DataFrame:
+        """(key, id, component) of the keys that several components have in common."""
+        labelled = keys.join(connected_components(found), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        ends = labelled.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_n"))
+        return labelled.join(ends.where("_low != _high").select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")), "key")
+
+    def neighbours(members: DataFrame, pick) -> DataFrame:
+        """One text of each component of a key with one of the next component."""
+        each = members.groupBy("key", "component").agg(pick("id").alias("id"))
+        after = F.lead("id").over(W.partitionBy("key").orderBy("component"))
+        return each.select(F.col("id").alias("_x"), after.alias("_y")).where("_y is not null")
+
+    def across(members: DataFrame) -> DataFrame:
+        """All texts of different components of a key."""
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        placed = members.select("key", "id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        placed = placed.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "component", "own")
+        placed = materialize(placed)
+        other = placed.select("key", "x", "y", F.col("id").alias("_y"), F.col("component").alias("_component"), F.col("own").alias("_own"))
+        return placed.withColumnRenamed("id", "_x").join(other, ["key", "x", "y"]).where("_x < _y and component != _component and (x = y or own != _own)").select("_x", "_y")
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
+
     def alike(n: str, m: str) -> Column:
         return F.least(n, m).cast("bigint") * 100 >= F.greatest(n, m).cast("bigint") * percent
 
@@ -123,15 +220,18 @@ def near_links(articles: DataFrame, article_id: str = "article_id", text: Column
     members = single.select(F.explode("buckets").alias("bucket"), "id", "n")
     shared = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("least"), F.max("id").alias("z")).where("least.id < z")
     members = materialize(members.join(bounded_broadcast(materialize(shared)), "bucket").select("bucket", "id", "n", "least"))
-    star = members.where(F.col("id") != F.col("least.id")).where(alike("n", "least.n"))
-    near = materialize(verified(star.select(F.col("least.id").alias("a"), F.col("id").alias("b")).distinct()))
-    # what a bucket's smallest id does not reach, against all of the bucket that is not reached from it
-    labelled = members.drop("least").join(connected_components(near), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    labelled = materialize(labelled)
-    counts = labelled.groupBy("bucket", "component").count()
-    mixed = counts.groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
-    inside = labelled.join(mixed.select("bucket", "main"), "bucket")
-    outside = inside.where("component != main").select("bucket", F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("component").alias("_component"))
-    rest = inside.join(outside, "bucket").where("component != _component").where(alike("n", "_n"))
-    rest = verified(rest.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct())
-    return materialize(equal.unionByName(near).unionByName(rest))
+    star = members.where(F.col("id") != F.col("least.id")).where(alike("n", "least.n")).groupBy(F.col("least.id").alias("a"), F.col("id").alias("b")).count()
+    star = star.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b")
+    links = materialize(equal.unionByName(verified(star)))
+    # what is still apart in some bucket
+    left = members.drop("least").join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    left = materialize(left)
+    mixed = left.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high").select("bucket")
+    open_ids = materialize(left.join(mixed, "bucket", "left_semi").select("id").distinct())
+    sets = sets_of(open_ids)
+    keys = materialize(filed(sets))
+    for pick in (F.min, F.max, None):
+        members = materialize(apart(keys, links))
+        pairs = ordered(neighbours(members, pick) if pick else across(members))
+        links = materialize(links.unionByName(verified(pairs, sets)))
+    return links

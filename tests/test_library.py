@@ -68,6 +68,41 @@ def test_near_duplicates_against_brute_force(spark):
     assert near.near_links(df.where("false"), "id", "text").count() == 0
 
 
+def test_prefixes_are_long_enough():
+    """Of any two sets similar enough, in any order of shingles, the prefixes for each other's class meet; checked at the least overlap."""
+    for m in [*range(1, 60), 100, 333, 1000]:
+        for n in range(-(-80 * m // 100), 100 * m // 80 + 1):
+            overlap = -(-80 * (m + n) // 180)
+            if overlap > min(m, n):
+                continue
+            mine, theirs = dict(near.prefixes(m, 80)), dict(near.prefixes(n, 80))
+            assert mine[near.size_class(n)] >= m - overlap + 1 and theirs[near.size_class(m)] >= n - overlap + 1
+            assert near.prefixes(m, 80)[0][1] <= m - -(-80 * m // 100) + 1
+
+
+def test_near_duplicates_in_a_bucket_of_boilerplate(spark, monkeypatch):
+    """A third of all texts share most of their words and are no near duplicates, but for some pairs and a chain among them."""
+    monkeypatch.setattr(near, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    draw = lambda n: [f"w{rng.integers(10**6)}" for _ in range(n)]
+    boiler = draw(110)
+    texts = [boiler + draw(40) for _ in range(120)]
+    texts += [t[:140] + draw(10) for t in texts[:15]]  # near copies of some of them
+    chain = boiler + draw(40)
+    for i in range(12):
+        chain = chain[:100] + chain[110:] + draw(10) if i else chain
+        texts.append(list(chain))
+    texts += [draw(60) for _ in range(200)]
+    sets = [{tuple(t[i : i + 4]) for i in range(len(t) - 3)} for t in texts]
+    pairs = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert 20 < len(pairs) < 200
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id bigint, text string").repartition(5)
+    links = near.near_links(df, "id", "text")
+    assert {(r.a, r.b) for r in links.collect()} <= pairs
+    edges = spark.createDataFrame(sorted(pairs), "a bigint, b bigint")
+    assert {tuple(r) for r in connected_components(links).collect()} == {tuple(r) for r in connected_components(edges).collect()}
+
+
 def test_language(spark):
     texts = ["Der Hund und die Katze", "the end of it", "el perro que no", "le chat et les", "xyz", "", None, "die the"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(2)
