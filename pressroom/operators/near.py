@@ -7,7 +7,7 @@ connected so far contracted in between:
 1. Of texts with equal sets each is linked to the smallest id.
 2. Each text is compared with the first text of one bucket, the one it shares most buckets with. That joins a group of copies, however large.
 3. Buckets that still span several components are not compared member by member: a bucket of boilerplate may hold a third of all texts and
-   no near duplicate. Their texts go through an exact set-similarity join instead. Shingles are put in one order, rare before frequent
+   no near duplicate. The texts in at least SHARED such buckets go through an exact set-similarity join instead. Shingles are put in one order, rare before frequent
    (frequencies from a table of ``1 << SLOTS`` counters). Two sets that are similar enough share a shingle among the first few of each, how few depends on both
    sizes; so a set is filed under its first shingles once for each class of sizes its partner can have. What boilerplate has in common comes
    last in the order, and is filed only where the boilerplate is nearly all of a text, and then the texts are near duplicates.
@@ -34,15 +34,15 @@ from pyspark.sql import functions as F
 from pressroom.operators.components import connected_components
 from pressroom.session import bounded_broadcast, materialize
 
-#: 128 hashes; a pair at a similarity of 0.8 shares no band with a probability of 5e-8, one above it less.
-BANDS, ROWS = 32, 4
+#: 128 hashes; a pair at a similarity of 0.8 shares fewer than SHARED bands with a probability of 1.1e-6, one above it less.
+BANDS, ROWS, SHARED = 32, 4, 2
 #: Texts and shingles taken at once in a task, but for a single longer text; word hashes remembered.
 TEXTS, PIECE, REMEMBERED = 256, 1 << 18, 1 << 18
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _WORD = re.compile(rb"[^ \x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Counters for the order of shingles, as a power of two; texts of one size class differ by less than this factor; texts of a block.
-SLOTS, CLASS, BLOCK = 18, 1.05, 512
+SLOTS, CLASS, BLOCK = 18, 1.12, 512
 
 
 class _Hashes(dict):
@@ -203,7 +203,6 @@ def near_links(articles: DataFrame, article_id: str = "article_id", text: Column
         own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
         placed = members.select("key", "id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         placed = placed.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "component", "own")
-        placed = materialize(placed)
         other = placed.select("key", "x", "y", F.col("id").alias("_y"), F.col("component").alias("_component"), F.col("own").alias("_own"))
         return placed.withColumnRenamed("id", "_x").join(other, ["key", "x", "y"]).where("_x < _y and component != _component and (x = y or own != _own)").select("_x", "_y")
 
@@ -227,11 +226,12 @@ def near_links(articles: DataFrame, article_id: str = "article_id", text: Column
     left = members.drop("least").join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
     left = materialize(left)
     mixed = left.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low != _high").select("bucket")
-    open_ids = materialize(left.join(mixed, "bucket", "left_semi").select("id").distinct())
-    sets = sets_of(open_ids)
-    keys = materialize(filed(sets))
+    shared = left.join(mixed, "bucket", "left_semi").groupBy("id").count().where(F.col("count") >= SHARED)
+    sets = sets_of(materialize(shared.select("id")))
+    members = materialize(filed(sets))
     for pick in (F.min, F.max, None):
-        members = materialize(apart(keys, links))
+        # a shingle of one component has only one later on
+        members = materialize(apart(members.select("key", "id"), links))
         pairs = ordered(neighbours(members, pick) if pick else across(members))
         links = materialize(links.unionByName(verified(pairs, sets)))
     return links
