@@ -7,8 +7,8 @@ connected so far contracted in between:
 1. Of texts with equal sets each is linked to the smallest id.
 2. Each text is compared with the first text of one bucket, the one it shares most buckets with. That joins a group of copies, however large.
 3. Buckets that still span several components are not compared member by member: a bucket of boilerplate may hold a third of all texts and
-   no near duplicate. The texts in at least SHARED such buckets go through an exact set-similarity join instead. Shingles are put in one order, rare before frequent
-   (frequencies from a table of ``1 << SLOTS`` counters). Two sets that are similar enough share a shingle among the first few of each, how few depends on both
+   no near duplicate. The texts in at least SHARED such buckets go through an exact set-similarity join instead. Their shingles are put in one order, by the
+   number of texts that have them. Two sets that are similar enough share a shingle among the first few of each, how few depends on both
    sizes; so a set is filed under its first shingles once for each class of sizes its partner can have. What boilerplate has in common comes
    last in the order, and is filed only where the boilerplate is nearly all of a text, and then the texts are near duplicates.
    Of a shingle that several components share, first neighbouring components are compared by one text each, twice; then, among what is still
@@ -41,8 +41,8 @@ TEXTS, PIECE, REMEMBERED = 256, 1 << 18, 1 << 18
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _WORD = re.compile(rb"[^ \x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Counters for the order of shingles, as a power of two; texts of one size class differ by less than this factor; texts of a block.
-SLOTS, CLASS, BLOCK = 18, 1.12, 512
+#: Texts of one size class differ by less than this factor; texts of a block.
+CLASS, BLOCK = 1.12, 512
 
 
 class _Hashes(dict):
@@ -161,30 +161,31 @@ def near_links(articles: DataFrame, article_id: str = "article_id", text: Column
         return both.where(F.col("_both") * 100 >= (F.col("_m") + F.col("_n") - F.col("_both")) * percent).select("a", "b").distinct()
 
     def filed(sets: DataFrame) -> DataFrame:
-        """(key, id) of the first shingles of every set."""
-        slot = F.shiftrightunsigned("shingle", 64 - SLOTS)
-        counted = sets.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).toArrow()
-        frequency = np.zeros(1 << SLOTS, np.int64)  # as many numbers at any size of the input
-        frequency[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+        """(key, id) of the first shingles of every set. Shingles of a single text come first in the order; they are counted, not filed."""
+        each = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+        counts = each.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+        shared = each.join(counts, "shingle").groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("shared"))
+        shared = shared.select("id", "n", F.col("shared.shingle").alias("shingles"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in range(0, batch.num_rows, TEXTS):
                     part = batch.slice(at, TEXTS)
                     keys: list[np.ndarray] = []
-                    for own in part.column("shingles"):
-                        values = own.values.to_numpy().view(np.uint64)
-                        order = np.lexsort((values, frequency[(values >> np.uint64(64 - SLOTS)).astype(np.int64)]))
-                        ranked = values[order[: len(values) - -(-percent * len(values) // 100) + 1]]
-                        mine = size_class(len(values))
-                        made = [(ranked[:length] ^ np.uint64(min(size, mine) << 20 | max(size, mine))) * _MIX for size, length in prefixes(len(values), percent)]
-                        keys.append(np.concatenate(made))
+                    for n, own in zip(part.column("n").to_pylist(), part.column("shingles"), strict=True):
+                        ranked = own.values.to_numpy().view(np.uint64)
+                        alone, mine = n - len(ranked), size_class(n)
+                        made = [
+                            (ranked[: length - alone] ^ np.uint64(min(size, mine) << 20 | max(size, mine))) * _MIX
+                            for size, length in prefixes(n, percent) if length > alone
+                        ]
+                        keys.append(np.concatenate([*made, np.zeros(0, np.uint64)]))
                     sizes = [len(x) for x in keys]
                     ids = part.column("id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
                     flat = np.concatenate([*keys, np.zeros(0, np.uint64)])
                     yield pa.RecordBatch.from_arrays([pa.array((flat ^ flat >> np.uint64(32)).view(np.int64)), ids], ["key", "id"])
 
-        return sets.mapInArrow(run, f"key bigint, id {kind}")
+        return shared.mapInArrow(run, f"key bigint, id {kind}")
 
     def apart(keys: DataFrame, found: DataFrame) -> DataFrame:
         """(key, id, component) of the keys that several components have in common."""
