@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from pressroom.functions import urls as U
 from pressroom.functions.text import blank_to_null
-from pressroom.operators.running import balanced_buckets, running
+from pressroom.operators.running import balanced_buckets, positions, running
 from pressroom.schemas import RAWDATA_COLUMNS
-from pressroom.session import bounded_broadcast
+from pressroom.session import bounded_broadcast, materialize
 
 
 def pick_first(df: DataFrame, keys: list, order: list, n: int = 1) -> DataFrame:
@@ -194,23 +194,36 @@ def upsert_rawdata(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def assign_ids(rows: DataFrame, start_after: int | Column, order: str = "fetched_at", buckets_per_minute: int = 64) -> DataFrame:
+def assign_ids(rows: DataFrame, start_after: int | Column, order: str = "fetched_at") -> DataFrame:
     """Give rows without an id consecutive numbers, the same on every replay.
 
-    Numbers follow the minute of ``order``, then a hash bucket, then the key, so no single task sees all rows.
+    Numbers follow ``order``, then the key. Rows are numbered range by range, so no single task sees all of them, nor a total for each moment.
     """
-    minute, salt = F.date_trunc("minute", F.col(order)), F.pmod(F.xxhash64(*RUN_KEY), F.lit(buckets_per_minute))
-    fresh = rows.filter(F.col("id").isNull()).withColumns({"_minute": minute, "_salt": salt})
-    numbered = running(fresh, [], ["_minute", "_salt"], [order, *RUN_KEY], {"_n": ("sum", F.lit(1).cast("bigint"))})
+    fresh = rows.filter(F.col("id").isNull())
     start = F.lit(start_after) if isinstance(start_after, int) else start_after
-    given = numbered.withColumn("id", (start + F.col("_n")).cast("bigint")).select(*rows.columns)
+    given = positions(fresh, [order, *RUN_KEY]).withColumn("id", (start + F.col("_n")).cast("bigint")).select(*rows.columns)
     return rows.filter(F.col("id").isNotNull()).unionByName(given)
 
 
+def first_bodies(rows: DataFrame, keys: list[str], order: list[str], among: DataFrame | None = None) -> DataFrame:
+    """The first row per key, bodies and all. Which one it is, is told on keys and order columns (of ``among``, else of all rows); only then is its
+    body fetched, once."""
+    first = (rows if among is None else among).groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    named = {c: f"_w{i}" for i, c in enumerate([*keys, *order])}
+    wanted = first.select(*[F.col(k).alias(named[k]) for k in keys], *[F.col(f"_first.{c}").alias(named[c]) for c in order])
+    same = None
+    for c, w in named.items():
+        test = F.col(c).eqNullSafe(F.col(w))
+        same = test if same is None else same & test
+    # rows that are equal in keys and order are copies of each other
+    return rows.join(bounded_broadcast(materialize(wanted)), same, "left_semi").dropDuplicates(keys)
+
+
 def immutable_first_write(existing_keys: DataFrame, payloads: DataFrame, keys: list[str] | None = None, tie: str = "raw_content_hash") -> DataFrame:
     """Payloads to store: the first one per (source, url, run), none where one is stored already."""
     keys = keys or ["source_name", "url_hash", "crawl_run_id"]
-    return pick_first(payloads.join(existing_keys.select(*keys), keys, "left_anti"), keys, ["fetched_at", tie])
+    new = payloads.select(*keys, "fetched_at", tie).join(existing_keys.select(*keys), keys, "left_anti")
+    return first_bodies(payloads, keys, ["fetched_at", tie], new)
 
 
 def first_write_keys(existing: DataFrame, payloads: DataFrame, keys: list[str] | None = None) -> DataFrame:

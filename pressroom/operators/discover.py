@@ -10,8 +10,8 @@ from pressroom.functions import text as T
 from pressroom.functions import urls as U
 from pressroom.functions.urls import let
 from pressroom.operators import dom
-from pressroom.operators.dedupe import dedupe_first_wins, limit_per_source, pick_first
-from pressroom.operators.running import running
+from pressroom.operators.dedupe import GROUP_LIMIT, dedupe_first_wins, limit_per_source, pick_first
+from pressroom.operators.running import balanced_buckets, running
 from pressroom.session import bounded_broadcast, materialize
 
 BLOCKED_FEED = [403, 429]
@@ -361,13 +361,18 @@ def select_sources(sources: DataFrame, name: str | None = None, channel_type: st
 
 
 def dry_run_listing(discovered: DataFrame, limit: int = 10) -> DataFrame:
-    """Numbered preview of the first ``limit`` finds per source."""
-    discovered = limit_per_source(discovered, ["position"], limit)
-    number = F.row_number().over(W.partitionBy("source_name").orderBy("position"))
+    """Numbered preview of the first ``limit`` finds per source; of all with a limit of 0."""
+    if limit and limit <= GROUP_LIMIT:
+        numbered = discovered.withColumn("line", F.row_number().over(W.partitionBy("source_name").orderBy("position")).cast("bigint"))
+        numbered = numbered.filter(F.col("line") <= limit)
+    else:  # a whole source is counted in pieces, not sorted in one task
+        cut = balanced_buckets(discovered, ["source_name"], ["position"])
+        numbered = running(cut, ["source_name"], ["_bucket"], ["position"], {"line": ("sum", F.lit(1).cast("bigint"))})
+        numbered = numbered.filter(F.col("line") <= limit) if limit else numbered
     summary = T.blank_to_null("summary")
-    return discovered.select(
+    return numbered.select(
         "source_name",
-        number.cast("bigint").alias("line"),
+        "line",
         T.text_or("published_at", T.NO_DATE).alias("published_at"),
         T.text_or("title", T.NO_TITLE).alias("title"),
         "url",

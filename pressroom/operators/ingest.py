@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pressroom.functions import ids
 from pressroom.functions import urls as U
 from pressroom.functions.text import blank_to_null
-from pressroom.operators.dedupe import pick_first
+from pressroom.operators.dedupe import first_bodies
 from pressroom.operators.reports import rate
 from pressroom.operators.running import balanced_buckets, running
 
@@ -278,7 +278,7 @@ def content_addressed(rows: DataFrame, zone: str = "UTC", html: str = "html") ->
     """Payloads under a key that is their own hash; equal payloads of a source and day are stored once."""
     keyed = rows.withColumn("payload_hash", U.content_hash(html)).withColumn(
         "object_key", ids.content_addressed_key("source_name", "payload_hash", "fetched_at", zone))
-    return pick_first(keyed, ["object_key"], ["fetched_at", "url"])
+    return first_bodies(keyed, ["object_key"], ["fetched_at", "url"])
 
 
 def verify_checksums(objects: DataFrame, key: str = "object_key", html: str = "html") -> DataFrame:

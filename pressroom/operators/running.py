@@ -62,3 +62,16 @@ def running(
     return joined.withColumns(out).drop(
         *[f"_k_{k}" for k in keys + bucket], *[f"{p}_{n}" for n in totals for p in ("_v", "_c")]
     )
+
+
+def positions(df: DataFrame, order: list[str], name: str = "_n") -> DataFrame:
+    """Number all rows from 1 in an order. Rows are dealt out in ranges and counted range by range; the counts, one a range, are summed up in the
+    driver. The dealt rows are written out in between, since another sampling could cut elsewhere."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+    dealt = materialize(dealt.withColumns({"_piece": F.shiftright("_row", 33), "_row": F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))}))
+    bases, upto = [], 0
+    for r in dealt.groupBy("_piece").count().orderBy("_piece").collect():  # one row a range
+        bases.append((r["_piece"], upto))
+        upto += r["count"]
+    base = df.sparkSession.createDataFrame(bases, "_piece bigint, _base bigint")
+    return dealt.join(F.broadcast(base), "_piece").withColumn(name, F.col("_base") + F.col("_row") + 1).drop("_piece", "_base", "_row")

@@ -9,7 +9,7 @@ from pressroom.functions import urls as U
 from pressroom.functions.text import blank_to_null
 from pressroom.operators import quality
 from pressroom.operators.dedupe import resolve_source, skip_any_artifact, skip_done_in_run
-from pressroom.operators.discover import discover_api, discover_listing, discover_rss, parse_url_list
+from pressroom.operators.discover import discover_api, discover_listing, discover_rss, parse_url_list, route_collector
 from pressroom.operators.extract import SCALAR_FIELDS, extract_articles
 from pressroom.operators.reconcile import reconcile_report
 from pressroom.operators.reports import SKIPPED, run_stats
@@ -49,13 +49,22 @@ def crawl_articles(pages: DataFrame, sources: DataFrame, source_rules: DataFrame
 
 def discover_all(feeds: DataFrame | None, api_attempts: DataFrame | None, listings: DataFrame | None, sources: DataFrame,
                  limit: int | None = None) -> DataFrame:
+    """Articles of all sources, each discovered the one way that its configuration asks for.
+
+    What landed of a source over another channel, or of a source that is not configured, is not looked at. The first find of a URL per source stays.
+    """
+    routes = bounded_broadcast(route_collector(sources).select(F.lower("source_name").alias("_route"), "collector"))
+
+    def of(landed: DataFrame, collector: str) -> DataFrame:
+        return landed.join(routes.where(F.col("collector") == collector), F.lower("source_name") == F.col("_route"), "left_semi")
+
     parts = []
     if feeds is not None:
-        parts.append(discover_rss(feeds, limit))
+        parts.append(discover_rss(of(feeds, "rss"), limit))
     if api_attempts is not None:
-        parts.append(discover_api(api_attempts, sources, limit))
+        parts.append(discover_api(of(api_attempts, "api"), sources, limit))
     if listings is not None:
-        parts.append(discover_listing(listings, sources, limit))
+        parts.append(discover_listing(of(listings, "listing"), sources, limit))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

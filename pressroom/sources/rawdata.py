@@ -81,23 +81,61 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+#: Runs of a batch that are named in the filter on the table; a batch of more runs finds them by a join.
+NAMED_RUNS = 1000
+
+
+def _touched(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of the batch's runs. Up to ``NAMED_RUNS`` only the folders of these runs are listed and read."""
+    runs = [r[0] for r in batch.select("crawl_run_id").distinct().limit(NAMED_RUNS + 1).collect()]
+    if len(runs) > NAMED_RUNS:
+        wanted = batch.select(F.col("crawl_run_id").alias("_run")).distinct()
+        return stored.join(wanted, F.col("crawl_run_id").eqNullSafe(F.col("_run")), "left_semi")
+    named = F.col("crawl_run_id").isin([r for r in runs if r is not None])
+    return stored.where(named | F.col("crawl_run_id").isNull() if None in runs else named)
+
+
+def highest_id(spark: SparkSession, table: str) -> int | None:
+    """The highest id given out, as noted beside the table; null if nothing is noted."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/_ids")
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    notes = [f.getPath().getName() for f in files.listStatus(p)] if files.exists(p) else []
+    return max((int(n.rpartition("-")[2]) for n in notes if n.startswith("upto-")), default=None)
+
+
+def _note_highest_id(spark: SparkSession, table: str, value: int) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/_ids")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.create(jvm.org.apache.hadoop.fs.Path(folder, f"upto-{value}"), True).close()
+    for old in files.listStatus(folder):
+        name = old.getPath().getName()
+        if name.startswith("upto-") and int(name.rpartition("-")[2]) < value:
+            files.delete(old.getPath(), False)
+
+
 def merge_into_storage(spark: SparkSession, incoming: DataFrame, table: str, staging: str) -> None:
-    """Upsert a batch into the stored table, rewriting only the runs the batch touches.
+    """Upsert a batch into the stored table, reading and rewriting only the runs the batch touches.
 
     The merged runs are written to ``staging`` first and copied from there, so a job that dies half-way is
     simply run again: a finished staging folder is reused instead of merging twice. Rebalancing splits a run that
-    holds most of the rows over several writers.
+    holds most of the rows over several writers. The highest id is noted beside the table before rows with new ids go in, so no merge
+    looks for it among the rows; a table without the note is searched once.
     """
     if not _exists(spark, f"{staging}/numbered/_SUCCESS"):
         batch = incoming.select(*RAWDATA_COLUMNS)
+        start = highest_id(spark, table)
         if _exists(spark, table):
             stored = read_rawdata(spark, table)
-            touched = batch.select("crawl_run_id").distinct()
-            merged = upsert_rawdata(stored.join(touched, "crawl_run_id", "left_semi"), batch)
-            start = F.coalesce(stored.agg(F.max("id")).scalar(), F.lit(0))
+            merged = upsert_rawdata(_touched(stored, batch), batch)
+            if start is None:
+                start = stored.agg(F.max("id")).first()[0]
         else:
-            merged, start = upsert_rawdata(batch.filter(F.lit(False)), batch), 0
-        assign_ids(materialize(merged, f"{staging}/merged"), start).write.mode("overwrite").parquet(f"{staging}/numbered")
+            merged = upsert_rawdata(batch.filter(F.lit(False)), batch)
+        assign_ids(materialize(merged, f"{staging}/merged"), start or 0).write.mode("overwrite").parquet(f"{staging}/numbered")
     numbered = spark.read.schema(RAWDATA).parquet(f"{staging}/numbered")
+    highest = max(numbered.agg(F.max("id")).first()[0] or 0, highest_id(spark, table) or 0)
+    _note_highest_id(spark, table, highest)
     numbered.hint("rebalance", "crawl_run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "crawl_run_id").parquet(table)

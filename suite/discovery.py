@@ -281,3 +281,13 @@ def dry_run(spark, sf_dir):
         F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("Doc "), i)).alias("title"), F.concat(F.lit("https://e.com/"), i).alias("url"),
         F.col("text").alias("summary"), F.array(i).alias("position"))
     return discover.dry_run_listing(found, 5)
+
+
+@query("d7_dry_run_whole", """select source as source_name, row_number() over (partition by source order by doc_id) as line, concat('https://e.com/', doc_id) as url from documents""")
+def dry_run_whole(spark, sf_dir):
+    """Without a limit: every find has its line, counted in pieces of a source."""
+    i = F.col("doc_id")
+    none = F.lit(None).cast("string")
+    found = documents(spark, sf_dir).select(F.col("source").alias("source_name"), none.alias("published_at"), none.alias("title"), F.concat(F.lit("https://e.com/"), i).alias("url"),
+                                            none.alias("summary"), F.array(i).alias("position"))
+    return discover.dry_run_listing(found, 0).select("source_name", "line", "url")

@@ -114,3 +114,18 @@ def test_pages_without_url_are_counted(spark):
     known = spark.createDataFrame([(rows[0][0],)], "url string").select(jobs.U.url_hash_v1("url").alias("url_hash"))
     got = jobs.new_page_quality(pages, known, builtin_sources(spark), builtin_rules(spark)).collect()
     assert max(r.pages for r in got) == 3
+
+
+def test_bodies_are_fetched_once_and_ids_need_no_single_task(spark):
+    log = views.crawl_log(spark, SF).withColumn("raw_content_hash", F.sha2("props", 256)).withColumn("body", F.repeat("props", 3))
+    keys = ["source_id", "url", "crawl_run_id"]
+    p = plan(dedupe.immutable_first_write(log.filter(F.hour("fetched_at") < 2), log, keys))
+    assert "Window" not in p and p.count("Exchange hashpartitioning") <= 2
+    rows = log.select("source_id", "crawl_run_id", "url", "fetched_at", F.lit(None).cast("bigint").alias("id"))
+    assert "SinglePartition" not in plan(dedupe.assign_ids(rows, 0))
+
+
+def test_first_body_of_nulls_and_copies(spark):
+    rows = [("a", 2, "late"), ("a", 1, "first"), ("a", 1, "first"), (None, 5, "x"), (None, None, "y"), ("b", None, "z")]
+    df = spark.createDataFrame(rows, "k string, t int, body string").repartition(3)
+    assert sorted((r.k or "", r.body) for r in dedupe.first_bodies(df, ["k"], ["t"]).collect()) == [("", "y"), ("a", "first"), ("b", "z")]

@@ -176,3 +176,51 @@ def test_scheduled_run(spark, tmp_path):
     outcomes, done, rejected = plans.scheduled_batch(lists, earlier, pages, builtin_sources(spark), builtin_rules(spark), work=str(tmp_path / "work"))
     assert {r.url[-1]: r.status for r in outcomes.collect()} == {"a": "SUCCESS", "b": "TIMEOUT", "c": "SKIPPED_EXISTING"}
     assert sorted(r.url[-1] for r in done.collect()) == ["a", "b"] and [r.raw_url for r in rejected.collect()] == ["bad"]
+
+
+def test_ids_are_noted_beside_the_table(spark, tmp_path):
+    table, stage = str(tmp_path / "table"), str(tmp_path / "stage")
+    assert rawdata.highest_id(spark, table) is None
+    rawdata.merge_into_storage(spark, batch(spark, [(f"u{i}", "r1", "SUCCESS", "2024-01-01") for i in range(5)]), table, f"{stage}/0")
+    assert rawdata.highest_id(spark, table) == 5
+    rawdata.merge_into_storage(spark, batch(spark, [("u1", "r1", "TIMEOUT", "2024-01-02"), ("v", "r2", "SUCCESS", "2024-01-02")]), table, f"{stage}/1")
+    assert rawdata.highest_id(spark, table) == 6 and sorted(r.id for r in rawdata.read_rawdata(spark, table).collect()) == [1, 2, 3, 4, 5, 6]
+    # a table from before there were notes
+    for note in (tmp_path / "table" / "_ids").iterdir():
+        note.unlink()
+    rawdata.merge_into_storage(spark, batch(spark, [("w", "r3", "SUCCESS", "2024-01-03")]), table, f"{stage}/2")
+    assert rawdata.highest_id(spark, table) == 7 and {r.url: r.id for r in rawdata.read_rawdata(spark, table).collect()}["w"] == 7
+
+
+@pytest.mark.parametrize("named", [1000, 0])
+def test_a_merge_reads_its_runs_only(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(rawdata, "NAMED_RUNS", named)
+    table, stage = str(tmp_path / "table"), str(tmp_path / "stage")
+    rows = batch(spark, [("u", "r1", "SUCCESS", "2024-01-01"), ("v", "r2", "SUCCESS", "2024-01-01"), ("x", "gone", "SUCCESS", "2024-01-01")])
+    rows = rows.withColumn("crawl_run_id", F.nullif("crawl_run_id", F.lit("gone")))
+    rawdata.merge_into_storage(spark, rows, table, f"{stage}/0")
+    late = batch(spark, [("y", "gone", "SUCCESS", "2024-01-02"), ("u", "r1", "TIMEOUT", "2024-01-02")]).withColumn("crawl_run_id", F.nullif("crawl_run_id", F.lit("gone")))
+    if named:
+        touched = rawdata._touched(rawdata.read_rawdata(spark, table), late)
+        files = {f.rsplit("/", 2)[-2] for f in touched.inputFiles()}
+        plan = touched._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [(" in plan and "Join" not in plan and files
+    rawdata.merge_into_storage(spark, late, table, f"{stage}/1")
+    assert sorted((r.url, r.crawl_run_id or "", r.status) for r in rawdata.read_rawdata(spark, table).collect()) == [
+        ("u", "r1", "TIMEOUT"), ("v", "r2", "SUCCESS"), ("x", "", "SUCCESS"), ("y", "", "SUCCESS")]
+
+
+def test_sources_are_discovered_the_way_they_are_configured(spark):
+    from pressroom.schemas import SOURCES
+    from pressroom.sources.config import small_table
+
+    sources = small_table(spark, [{"source_id": 1, "source_name": "Lists", "channel_type": "html", "domains": ["lists.test"]},
+                                  {"source_id": 2, "source_name": "feeds", "channel_type": "rss", "domains": ["feeds.test"]}], SOURCES)
+    html = '<a href="https://lists.test/news/1.html">A long enough title</a><a href="https://feeds.test/news/2.html">A long enough title</a>'
+    listings = spark.createDataFrame([(s, 0, f"https://{s}.test/", 200, html) for s in ("lists", "feeds", "other")],
+                                     "source_name string, listing_pos int, listing_url string, http_status int, html string")
+    feed = "<rss><channel><item><title>T</title><link>https://feeds.test/a.html</link></item></channel></rss>"
+    feeds = spark.createDataFrame([(s, 0, f"https://{s}.test/rss", 200, feed) for s in ("lists", "feeds", "other")],
+                                  "source_name string, feed_pos int, feed_url string, http_status int, payload string")
+    got = sorted((r.source_name, r.url, r.discovery_method) for r in plans.discover_all(feeds, None, listings, sources).collect())
+    assert got == [("feeds", "https://feeds.test/a.html", "rss"), ("lists", "https://lists.test/news/1.html", "listing")]
