@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressroom.llm.words import U64, constants, mix, pieces, shingles, split_words
+from pressroom.llm.words import U64, constants, mix, pieces, release, shingles, split_words
 from pressroom.operators.components import connected_components
 from pressroom.session import bounded_broadcast, materialize
 
@@ -36,6 +36,8 @@ INDEX_DISTANCE, DISTANCE = 2 * CHUNKS - 1, 45
 SKETCH, SKETCH_DISTANCE = 512, 141
 #: Members of an index group that one piece of work compares with as many others; larger groups are cut.
 BLOCK = 1024
+#: Pairs whose longer sketches are compared at once.
+RUN = 4096
 
 _SEEDS = constants(7, POSITIONS)
 _SKETCH_SEEDS = constants(9, SKETCH)
@@ -81,6 +83,7 @@ def set_features(docs: DataFrame, n: int) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
                 ["doc_id", "n_shingles", "digest", "signature"],
             )
+        release()
 
     return _texts(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, signature binary")
 
@@ -114,6 +117,7 @@ def sketches(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                     low = [(np.minimum.reduceat(values * s, bounds[:-1][filled]) & U64(0xFF)).astype(np.uint8) for s in _SKETCH_SEEDS]
                     rows = [r.tobytes() for r in np.stack(low, 1)]
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(filled + at)), pa.array(rows, pa.binary())], ["id", "sketch"])
+        release()
 
     texts = _texts(docs).join(bounded_broadcast(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
     return texts.mapInArrow(run, "id bigint, sketch binary").dropDuplicates(["id"])
@@ -198,11 +202,15 @@ def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, partner: str
                 p, q = p[far[p, q] <= DISTANCE], q[far[p, q] <= DISTANCE]
             else:
                 p, q = np.nonzero(far <= DISTANCE)
-                sure = (part["sketch"][i[p]] != part["sketch"][right[q]]).sum(axis=1) <= SKETCH_DISTANCE
-                p, q = p[sure], q[sure]
-                # a pair of several groups is reported by the first of them
-                once = first_shared_slot(part["whole"][i[p]], part["whole"][right[q]]) == part["slot"][0]
-                p, q = p[once], q[once]
+                kept = [(p[:0], q[:0])]
+                for at in range(0, len(p), RUN):
+                    x, y = p[at : at + RUN], q[at : at + RUN]
+                    # a pair of several groups is reported by the first of them
+                    once = first_shared_slot(part["whole"][i[x]], part["whole"][right[y]]) == part["slot"][0]
+                    x, y = x[once], y[once]
+                    sure = (part["sketch"][i[x]] != part["sketch"][right[y]]).sum(axis=1) <= SKETCH_DISTANCE
+                    kept.append((x[sure], y[sure]))
+                p, q = (np.concatenate(c) for c in zip(*kept, strict=True))
             out.append(np.stack([ids[i[p]], ids[right[q]]], 1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return np.unique(np.sort(pairs, axis=1), axis=0)
@@ -240,6 +248,8 @@ def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, partner: str
                 waiting = table.slice(cut).combine_chunks().to_batches()
         if waiting:
             yield done(pa.Table.from_batches(waiting).combine_chunks())
+        waiting.clear()
+        release()
 
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
@@ -257,6 +267,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, per
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
                 flat = np.concatenate([*own, np.zeros(0, np.int64)])
                 yield pa.RecordBatch.from_arrays([ids.slice(at, len(own)), pa.ListArray.from_arrays(offsets, flat)], ["id", "members"])
+        release()
 
     # a repeated document, or one whose id has several texts, counts once: with the set of its class
     sets = texts.mapInArrow(run, "id bigint, members array<bigint>")

@@ -6,6 +6,7 @@ no words. Hashes are the same in every process and at every batch size.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -147,3 +148,11 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
     cuts = np.flatnonzero(np.diff(run)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
         yield batch.slice(a, b - a)
+
+
+def release() -> None:
+    """Give freed memory back to the system at the end of a task, since workers go on to other work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -287,3 +287,34 @@ def test_ppm(spark, monkeypatch, learn):
 
 def test_ppm_of_nothing(spark):
     assert ppm.score_documents(docs_of(spark, []), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("case", ["either but not both", "insult with a mention"])
+def test_toxicity_trains_on_pairs(spark, case):
+    """Whole training: words that say nothing alone, or of which one does, and what both together say, among many others."""
+    rng = np.random.default_rng(2)
+    texts, labels = [], []
+    for i in range(4000):
+        filler = [f"w{rng.integers(400)}" for _ in range(int(rng.integers(10, 60)))]
+        a, b = (int(x) for x in rng.random(2) < (0.5, 0.5 if case.startswith("either") else 0.2))
+        filler += ["alpha"] * a + ["omega"] * b
+        rng.shuffle(filler)
+        texts.append(" ".join(filler))
+        labels.append((i, int(a != b) if case.startswith("either") else a & b))
+    docs, table = docs_of(spark, texts), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.train(docs.repartition(3), table, F.col("doc_id") % 4 != 0)
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.scored(docs, model, ["doc_id"]).collect()}
+    held = [(got[i], bool(t)) for i, t in labels if i % 4 == 0]
+    assert sum(a == b for a, b in held) >= 0.98 * len(held)
+    again = toxicity.train(docs.repartition(7), table, F.col("doc_id") % 4 != 0)
+    assert (again.terms == model.terms).all() and np.allclose(again.weights, model.weights)
+
+
+def test_toxicity_of_long_documents(spark):
+    """The task that fits gets the terms that matter, however many others a document has."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join([f"x{i}y{k}" for k in range(4000)] + ["vile"] * (i % 2) + [f"w{rng.integers(9)}" for _ in range(9)]) for i in range(60)]
+    docs, table = docs_of(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, table, F.lit(True))
+    assert 0 < len(model.terms) < 40
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in toxicity.scored(docs, model, ["doc_id"]).collect())
