@@ -190,7 +190,11 @@ def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, partner: str
         left, right = (np.flatnonzero(own == x), np.flatnonzero(own == y)) if x != y else (np.arange(len(ids)),) * 2
         out = []
         columns = np.ascontiguousarray(signatures[right].T)
-        centre = int(distances(signatures[left[:128]], columns).sum(axis=0, dtype=np.int64).argmin()) if len(left) and len(right) else 0
+        if not len(left) or not len(right):
+            return np.zeros((0, 2), np.int64)
+        if partner == "central":  # nothing but the centre is compared
+            centre = int(distances(signatures[left[:128]], columns).sum(axis=0, dtype=np.int64).argmin())
+            right, columns = right[[centre]], columns[:, [centre]]
         for low in range(0, len(left), 128):
             i = left[low : low + 128]
             far = distances(signatures[i], columns)
@@ -198,7 +202,7 @@ def cross_pairs(groups: DataFrame, traits: DataFrame, percent: int, partner: str
             far[(components[i][:, None] == components[right]) | (100 * small < percent * large)] = POSITIONS + 1
             if partner != "all":
                 p = np.arange(len(i))
-                q = far.argmin(axis=1) if partner == "nearest" else np.full(len(i), centre)
+                q = far.argmin(axis=1) if partner == "nearest" else np.zeros(len(i), np.int64)
                 p, q = p[far[p, q] <= DISTANCE], q[far[p, q] <= DISTANCE]
             else:
                 p, q = np.nonzero(far <= DISTANCE)
