@@ -34,7 +34,7 @@ FACTORS, EPOCHS, RATE, DECAY, SEED = 4, 200, 0.15, 1e-4, 5
 #: A term needs so many documents of the sample, and so large a deviation (in standard errors) from the share of the label.
 LEAST_DOCS, LEAST_Z = 3, 5.0
 #: Terms of most documents whose pairs are looked at; the deviation a pair needs; terms looked at in pairs at most; documents taken at once.
-FREQUENT, PAIR_Z, PAIRED, TOGETHER = 1024, 6.5, 4096, 512
+FREQUENT, PAIR_Z, PAIRED, TOGETHER = 1024, 6.5, 2048, 512
 _LUT_BITS = 22
 
 
@@ -89,13 +89,13 @@ def deviation(count: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
     return (toxic - count * share) / np.sqrt(np.maximum(count * share * (1 - share), 1e-12))
 
 
-def _steps(rows: np.ndarray, at: np.ndarray, known: int, labels: np.ndarray, weight: np.ndarray, factors: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+def _steps(rows: np.ndarray, at: np.ndarray, known: int, labels: np.ndarray, weight: np.ndarray, factors: int, epochs: int = EPOCHS) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """Bias, weights, factors and error of each document, after adaptive steps on the whole sample."""
     n = len(labels)
     rng = np.random.default_rng(SEED)
     bias, weights, vectors = 0.0, np.zeros(known), rng.normal(0, 0.01, (known, factors))
     seen, seen_bias = np.zeros((known, factors + 1)) + 1e-8, 1e-8
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         raw = bias + np.bincount(rows, weights[at], n)
         if factors:
             sums = np.stack([np.bincount(rows, f[at], n) for f in vectors.T], 1)
@@ -118,7 +118,7 @@ def _steps(rows: np.ndarray, at: np.ndarray, known: int, labels: np.ndarray, wei
 def paired_terms(rows: np.ndarray, at: np.ndarray, known: int, error: np.ndarray) -> np.ndarray:
     """Which of the terms are in a pair whose documents are labelled otherwise than ``error`` leaves room for."""
     error = error - error.mean()
-    both, spread, together = (np.zeros((known, known), np.float32) for _ in range(3))
+    both, spread = (np.zeros((known, known), np.float32) for _ in range(2))
     starts = np.searchsorted(rows, np.arange(0, len(error) + TOGETHER, TOGETHER))
     for i, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
         own = error[i * TOGETHER : (i + 1) * TOGETHER].astype(np.float32)[:, None]
@@ -126,9 +126,7 @@ def paired_terms(rows: np.ndarray, at: np.ndarray, known: int, error: np.ndarray
         x[rows[a:b] - i * TOGETHER, at[a:b]] = 1
         both += x.T @ (x * own)
         spread += x.T @ (x * own**2)
-        together += x.T @ x
-    z = np.abs(both) / np.sqrt(np.maximum(spread, 1e-6))
-    z[together < LEAST_DOCS] = 0
+    z = np.abs(both) / np.sqrt(np.maximum(spread, 1e-6))  # at most the root of the number of documents
     np.fill_diagonal(z, 0)
     return np.flatnonzero((z >= PAIR_Z).any(1))
 
@@ -149,10 +147,11 @@ def fit(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray) -> Model:
     z = np.abs(deviation(count, np.bincount(inverse, labels[rows], len(found)), labels.mean()))
     alone = (count >= LEAST_DOCS) & (z >= LEAST_Z)
     own, at = only(found[alone])
-    _, _, _, error = _steps(own, at, int(alone.sum()), labels, np.full(n, 1 / n), 0)
+    _, _, _, error = _steps(own, at, int(alone.sum()), labels, np.full(n, 1 / n), 0, EPOCHS // 2)
     frequent = np.zeros(len(found), bool)
     frequent[np.lexsort((found, -count))[:FREQUENT]] = True
-    frequent[np.lexsort((found, -np.where(alone, z, -1)))[: PAIRED - FREQUENT]] |= alone[np.lexsort((found, -np.where(alone, z, -1)))[: PAIRED - FREQUENT]]
+    clearest = np.lexsort((found, -np.where(alone, z, -1)))[: PAIRED - FREQUENT]
+    frequent[clearest] |= alone[clearest]
     pool = found[frequent & (count >= LEAST_DOCS)]
     own, at = only(pool)
     known = np.union1d(found[alone], pool[paired_terms(own, at, len(pool), error)])
