@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pressroom.llm.words import pieces, shingles, split_words
+from pressroom.llm.words import pieces, release, shingles, split_words
 from pressroom.session import bounded_broadcast, materialize
 
 SEED_WORDS = 3
@@ -91,6 +91,7 @@ def _hits(docs: DataFrame, grams: np.ndarray) -> DataFrame:
                 ids = batch.column("doc_id").slice(at, piece.num_rows).take(pa.array(pairs[:, 0]))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(grams[pairs[:, 1]].view(np.int64))], ["doc_id", "gram"])
                 at += piece.num_rows
+        release()
 
     return docs.mapInArrow(run, "doc_id bigint, gram bigint")
 
@@ -179,6 +180,7 @@ def _contaminated_by(texts: DataFrame, rows: list[tuple[int, str]], threshold: f
                             jobs.append((doc, x["item"], low, seq[low:high], target))
                 at += piece.num_rows
                 yield flush()
+        release()
 
     aligned = texts.join(bounded_broadcast(wanted), "doc_id").mapInArrow(run, MATCHES)
     best = W.partitionBy("doc_id", "item_id").orderBy(F.desc("coverage"), "first_word", "last_word")

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-from pressroom.llm.words import span_hashes, split_words
+from pressroom.llm.words import MEMORIES, span_hashes, split_words
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker remembers; beyond it the memory starts anew.
@@ -95,8 +95,9 @@ def split_source(column: pa.Array | pa.ChunkedArray) -> bytes:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+MEMORIES.append(_ENCODERS)
 
 
 def encoder(path: str) -> WordEncoder:
-    """This worker's encoder; it keeps what it has learned from task to task."""
+    """This worker's encoder; it keeps what it has learned from task to task, until another operator ends one."""
     return _ENCODERS.setdefault(path, WordEncoder(path))

@@ -139,7 +139,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``limit`` bytes of text each, at least one row a run."""
     if not batch.num_rows:
         return
@@ -150,8 +150,14 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         yield batch.slice(a, b - a)
 
 
+#: What operators remember from task to task; it goes when a worker ends a task of another operator.
+MEMORIES: list[dict] = []
+
+
 def release() -> None:
     """Give freed memory back to the system at the end of a task, since workers go on to other work."""
+    for memory in MEMORIES:
+        memory.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
