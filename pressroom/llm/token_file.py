@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressroom.llm.tokens import encoder
-from pressroom.llm.words import U64, pieces
+from pressroom.llm.words import U64, pieces, trim
 
 BLOCK_IDS = 1 << 16
 ESCAPE_BITS = 15
@@ -133,6 +133,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1
                         yield block()
         if waiting:
             yield block()
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))

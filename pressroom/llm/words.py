@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 U64 = np.uint64
 #: Bytes hashed at once: bounds the scratch memory of a task whatever the length of the texts (a single longer word aside).
@@ -154,11 +155,27 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator
 MEMORIES: list[dict] = []
 
 
-def release() -> None:
+def trim() -> None:
     """Give freed memory back to the system at the end of a task, since workers go on to other work."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+
+
+def release() -> None:
+    """``trim``, and forget what other operators remember."""
     for memory in MEMORIES:
         memory.clear()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    trim()
+
+
+#: Rows that go to a task's Python at once: an Arrow batch lies in the memory of both sides.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows with whole texts to Python in batches of ``BATCH_ROWS``, unless the session has a setting of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":  # as it is by default
+        spark.conf.set(name, BATCH_ROWS)
