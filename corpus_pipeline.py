@@ -18,6 +18,7 @@ from pressroom.llm.neardup import without_near_duplicates
 from pressroom.llm.token_file import read_ids, write_ids
 from pressroom.llm.tokens import DEFAULT_TOKENIZER, tokenizer_path
 from pressroom.llm.toxicity import scored, train
+from pressroom.llm.words import small_batches
 from pressroom.session import ensure_checkpoint_dir, materialize
 
 
@@ -27,28 +28,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, fitted on labelled ones, gives a probability under one half."""
+    small_batches(spark)
     model = train(docs, _table(spark, sf_dir, "labels"), F.lit(True))
     return scored(docs, model, docs.columns, "_toxicity").where(F.col("_toxicity") < 0.5).drop("_toxicity")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a similarity of 0.8 or more on five-word shingles."""
+    small_batches(spark)
     return without_near_duplicates(docs, words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no test item aligns with."""
+    small_batches(spark)
     return without_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by their source's rate, so that sources weigh alike, and shuffled."""
+    small_batches(spark)
     copies = replicate(docs, source_rates(docs), seed="pipeline", copy="_copy")
     return shuffled(copies, seed="pipeline", copy="_copy").select(*docs.columns)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, as read back from the token file."""
+    small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-ids-{uuid.uuid4().hex}"
     write_ids(docs, path, tokenizer_path(DEFAULT_TOKENIZER), end_id=1)
     return read_ids(spark, path)
@@ -62,7 +68,8 @@ STAGES = [
     ("token_ids", write_tokens),
 ]
 
-#: Learned weights, min-hash links and BPE have no SQL twin; the tests compare each stage with a brute-force version.
+#: Learned weights, min-hash links and BPE have no SQL twin. The tests run the stages: the operators of each are compared with brute force in tests of
+#: their own, mixing as a subset of its input and token ids by their order.
 ORACLE_SQL = None
 
 
