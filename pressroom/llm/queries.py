@@ -93,7 +93,7 @@ with recursive n as (select source, count(*) as size from documents group by 1),
 r as (select source, (1.0::double / (select count(*) from n)) * (select sum(size) from n)::double / size as rate from n),
 steps as (
   select source, rate, 0 as k, exp(-rate) as p, exp(-rate) as total from r
-  union all select source, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) from steps where k < 200),
+  union all select source, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) from steps where k < 700),
 points as (select doc_id, source, ('0x' || substr(md5('mix:' || doc_id), 1, 13))::bigint / 4503599627370496.0::double as u from documents),
 drawn as (select doc_id, p.source, count(*) as copies from points p join steps s on s.source is not distinct from p.source and s.total <= u group by all),
 copies as (select doc_id, source, unnest(generate_series(1, copies)) as copy from drawn)
@@ -111,7 +111,7 @@ with recursive c as (
 n as (select *, (strlen(text) + 3) // 4 + 4 as n, row_number() over (partition by conv_id order by turn nulls first, role, text) as seq from c),
 o as (select *, role = 'system' and seq = 1 as opens from n),
 f as (select conv_id, turn, role, text, n, seq, opens,
-  24 + length(replace(replace(replace(role, '\', '\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\'), '<|', '<\|')) as size from o),
+  24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) as size from o),
 b as (select *, coalesce(sum(case when opens then 0 else n end) over (partition by conv_id order by seq rows between unbounded preceding and 1 preceding), 0) as before from f),
 w as (select *, before // 192 as win from b where not opens),
 s as (select conv_id, win, min(before) as begins from w group by all),
