@@ -48,7 +48,7 @@ _KEY_SEEDS = constants(8, INDEXED)
 def _sets(n: int, column: str) -> Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, int]]]:
     def each(batch):
         at = 0
-        for piece in pieces(batch, column):
+        for piece in pieces(batch, column, 1 << 20):
             values, bounds = shingles(split_words(piece.column(column)), n)
             yield values, bounds, at
             at += piece.num_rows

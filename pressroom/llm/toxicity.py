@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", 1 << 20):
                 owner, terms = document_terms(piece.column("text"))
                 cuts = np.searchsorted(owner, np.arange(piece.num_rows + 1))
                 packed = [terms[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -235,7 +235,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str], name: str = "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "_text"):
+            for piece in pieces(batch, "_text", 1 << 20):
                 owner, terms = document_terms(piece.column("_text"), model.terms)
                 score = model.score(owner, terms, piece.num_rows)
                 columns = [piece.column(c) for c in keep]
