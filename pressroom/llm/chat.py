@@ -1,13 +1,13 @@
 """Chat conversations as budgeted training windows, with column functions only.
 
-Prefix sums of turn tokens cut a conversation at turns: a turn belongs to the span into which its first token falls, spans being
-``budget - history`` tokens long. A window is its span, before it the turns that lie whole within the last ``history`` tokens, and
-before those the system turn if the conversation opens with one (on top of the budget). Only the span's own assistant turns carry
-loss; repeated history and the repeated system turn are masked, so each assistant text is a target once. A turn longer than a span
-is never cut: it makes its window as long as itself.
+Prefix sums of turn tokens cut a conversation at turns, as late as they can: a window's own turns end with the last one whose prefix is within
+``budget`` less ``history`` less the system turn, if the conversation opens with one. A window is its own turns, before them the turns that lie
+whole within the last ``history`` tokens, and before those the system turn. A turn too long for that makes a window alone and leaves less
+room for history, so a window exceeds the budget only where one turn with the system turn does. Only own assistant turns carry
+loss; repeated history and the repeated system turn are masked, so each assistant text is a target once.
 
-Prefix sums run over pieces of conversations and then over piece totals, so one endless conversation is not one task; a window
-holds a bounded number of turns, since every turn counts at least its markup.
+Prefix sums run over pieces of conversations and then over piece totals, and cuts are made in blocks of ``BLOCK`` windows' tokens, each of which begins
+a window, so one endless conversation is not one task. A window is numbered by its first turn, counted from 0 without the system turn.
 
 A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside role and text a backslash is doubled and ``<|`` becomes ``<\\|``
 (in a role a line break becomes ``\\n``), so no control string can come from a text, and reading back gives the exact text.
@@ -26,6 +26,8 @@ from pressroom.operators.running import balanced_buckets, running
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Tokens that the markup of a turn counts.
 MARKUP = 4
+#: Tokens of a block, in windows' own tokens: cuts inside a block depend on the turns before them, those between blocks do not.
+BLOCK = 16
 
 
 def escape(text: Column, role: bool = False) -> Column:
@@ -47,6 +49,19 @@ def estimated_tokens(text: Column) -> Column:
     return F.floor((F.octet_length(text) + 3) / 4).cast("bigint") + MARKUP
 
 
+def _cuts(room: Column) -> Column:
+    """The turns (by ``at``) of a block's ``turns`` that begin a window, when windows hold ``room`` tokens or one turn."""
+    kind = "struct<begins:bigint,cuts:array<bigint>>"
+    nothing = F.struct(F.lit(None).alias("begins"), F.array().alias("cuts")).cast(kind)
+
+    def step(state, t):
+        fits = F.coalesce(t["before"] + t["n"] - state["begins"] <= room, F.lit(False))
+        cut = F.struct(t["before"].alias("begins"), F.array_append(state["cuts"], t["at"]).alias("cuts")).cast(kind)
+        return F.when(fits, state).otherwise(cut)
+
+    return F.aggregate("turns", nothing, step, lambda state: state["cuts"])
+
+
 def format_windows(conversations: DataFrame, budget: int, history: int, tokens=estimated_tokens) -> DataFrame:
     """conv_id, window, formatted and spans, one row per window.
 
@@ -55,7 +70,6 @@ def format_windows(conversations: DataFrame, budget: int, history: int, tokens=e
     """
     if not 0 <= history < budget:
         raise ValueError("history must be smaller than the budget")
-    stride = budget - history
     turns = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("n", tokens(F.col("text")))
@@ -67,19 +81,28 @@ def format_windows(conversations: DataFrame, budget: int, history: int, tokens=e
     system = counted.where("opens")
 
     # the opening turn counts in nobody's prefix: the others' prefixes are moved by it, as one value a conversation
-    heads = system.select(F.col("conv_id").alias("_c"), F.col("n").alias("head"))
+    heads = system.select(F.col("conv_id").alias("_c"), F.col("n").alias("_head"))
     body = counted.where("not opens").join(heads, F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c")
-    before = F.col("upto") - F.col("n") - F.coalesce("head", F.lit(0))
-    body = body.withColumn("before", before).withColumn("window", F.floor(before / stride)).drop("upto", "head")
-    windows = body.groupBy("conv_id", "window").agg(F.min("before").alias("begins"))
-    keys = windows.select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), "begins")
+    head = F.coalesce("_head", F.lit(0)).cast("bigint")
+    turn = F.struct(
+        (F.col("seq") - 1 - F.col("_head").isNotNull().cast("int")).alias("at"), (F.col("upto") - F.col("n") - head).alias("before"),
+        F.col("n").cast("bigint").alias("n"), "seq", "role", "text",
+    )
+    blocks = body.withColumns({"turn": turn, "head": head}).groupBy("conv_id", "head", F.floor(F.col("turn.before") / (BLOCK * (budget - history))).alias("block"))
+    blocks = blocks.agg(F.sort_array(F.collect_list("turn")).alias("turns")).withColumn("cuts", _cuts(F.lit(budget - history) - F.col("head")))
+    body = blocks.select("conv_id", "head", "cuts", F.explode("turns").alias("turn")).select("conv_id", "head", "cuts", "turn.*")
+    body = body.withColumn("window", F.array_max(F.filter("cuts", lambda at: at <= F.col("at")))).drop("cuts")
+    windows = body.groupBy("conv_id", "head", "window").agg(F.min("before").alias("begins"), F.sum("n").alias("own"))
+    keys = windows.select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), "begins", F.least(F.lit(history), budget - F.col("head") - F.col("own")).alias("room"))
 
     own = body.select("conv_id", "window", "seq", "role", "text", F.lit(False).alias("repeated"))
-    reach = history // stride + 1
-    later = body.withColumn("later", F.explode(F.sequence(F.col("window") + 1, F.col("window") + reach)))
-    past = later.join(keys, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("later") == F.col("_w")))
-    past = past.where(F.col("begins") - F.col("before") <= history)
-    past = past.select("conv_id", F.col("later").alias("window"), "seq", "role", "text", F.lit(True).alias("repeated"))
+    # windows meet the turns before them in cells as long as the history, of which a history touches two
+    wide = max(history, 1)
+    cells = F.sequence(F.floor((F.col("begins") - F.col("room")) / wide), F.floor(F.col("begins") / wide))
+    reach = keys.where("_w > 0 and room > 0").withColumn("_cell", F.explode(cells))
+    near = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.floor(F.col("before") / wide) == F.col("_cell"))
+    past = body.join(reach, near & (F.col("at") < F.col("_w")) & (F.col("begins") - F.col("before") <= F.col("room")))
+    past = past.select("conv_id", F.col("_w").alias("window"), "seq", "role", "text", F.lit(True).alias("repeated"))
     first = system.select("conv_id", F.lit(0).cast("bigint").alias("window"), "seq", "role", "text", F.lit(False).alias("repeated"))
     again = system.join(keys.where("_w > 0"), F.col("conv_id").eqNullSafe(F.col("_c")))
     again = again.select("conv_id", F.col("_w").alias("window"), "seq", "role", "text", F.lit(True).alias("repeated"))

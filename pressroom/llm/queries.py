@@ -112,14 +112,20 @@ n as (select *, (strlen(text) + 3) // 4 + 4 as n, row_number() over (partition b
 o as (select *, role = 'system' and seq = 1 as opens from n),
 f as (select conv_id, turn, role, text, n, seq, opens,
   24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) as size from o),
-b as (select *, coalesce(sum(case when opens then 0 else n end) over (partition by conv_id order by seq rows between unbounded preceding and 1 preceding), 0) as before from f),
-w as (select *, before // 192 as win from b where not opens),
-s as (select conv_id, win, min(before) as begins from w group by all),
+b as (select *, coalesce(sum(case when opens then 0 else n end) over (partition by conv_id order by seq rows between unbounded preceding and 1 preceding), 0) as before,
+  coalesce(max(case when opens then n end) over (partition by conv_id), 0) as head from f),
+y as (select *, row_number() over (partition by conv_id order by seq) as pos from b where not opens),
+w as (
+  select conv_id, pos, before, n, size, head, before as begins from y where pos = 1
+  union all select y.conv_id, y.pos, y.before, y.n, y.size, y.head,
+    case when y.before // 3072 = w.before // 3072 and y.before + y.n - w.begins <= 192 - y.head then w.begins else y.before end
+    from w join y on y.conv_id = w.conv_id and y.pos = w.pos + 1),
+s as (select conv_id, begins, least(64, 256 - any_value(head) - sum(n)) as room from w group by all),
 parts as (
   select conv_id, size from w
-  union all select w.conv_id, size from w join s on s.conv_id = w.conv_id and s.win > w.win and s.begins - w.before <= 64
+  union all select w.conv_id, size from w join s on s.conv_id = w.conv_id and w.before < s.begins and s.begins - w.before <= s.room
   union all select b.conv_id, size from b where opens
-  union all select b.conv_id, size from b join s on s.conv_id = b.conv_id and s.win > 0 where opens),
+  union all select b.conv_id, size from b join s on s.conv_id = b.conv_id and s.begins > 0 where opens),
 d as (select conv_id, sum(size) as formatted_chars from parts group by 1)
 select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by seq)) as turns_sha256,
   cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,

@@ -33,10 +33,51 @@ def test_chat_round_trip(spark):
     second = sorted((w for w in read if w.conv_id == 2), key=lambda w: w.window)
     assert len(second) > 3 and all(w.turns[0].role == "system" for w in second)
     assert any(t.repeated and t.role != "system" for t in second[1].turns)
-    for w in second:  # budget, but for one turn that starts in it and the system turn
-        sizes = [math.ceil(len(t.text.encode()) / 4) + 4 for t in w.turns[1:]]
-        repeated = sum(s for s, t in zip(sizes, w.turns[1:]) if t.repeated)
-        assert repeated <= 20 and sum(sizes) - repeated - max(sizes) < 40
+    for conv in (1, 2, 3, 4, 5, None):
+        turns = [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == conv), key=key)]
+        got = sorted((w for w in read if w.conv_id == conv), key=lambda w: w.window)
+        assert [[(t.role, t.text, t.repeated) for t in w.turns] for w in got] == greedy_windows(turns, 60, 20)
+
+
+def size_of(text):
+    return math.ceil(len(text.encode()) / 4) + 4
+
+
+def greedy_windows(turns, budget, history):
+    """The windows of one conversation, turn by turn."""
+    system = [turns[0]] if turns and turns[0][0] == "system" else []
+    body = turns[len(system):]
+    head = sum(size_of(t) for _, t in system)
+    upto = list(itertools.accumulate((size_of(t) for _, t in body), initial=0))
+    starts = []
+    for i in range(len(body)):
+        block = lambda j: upto[j] // (chat.BLOCK * (budget - history))
+        if not starts or block(i) != block(i - 1) or upto[i + 1] - upto[starts[-1]] > budget - history - head:
+            starts.append(i)
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(body)]):
+        room = min(history, budget - head - (upto[b] - upto[a]))
+        past = [body[j] for j in range(a) if upto[a] - upto[j] <= room]
+        out.append([(*t, a > 0) for t in system] + [(*t, True) for t in past] + [(*t, False) for t in body[a:b]])
+    return out or [[(*t, False) for t in system]]
+
+
+def test_chat_budget(spark):
+    """No window is over the budget unless one turn with the system turn is; eight turns of 150 tokens; a turn that fits makes no window alone."""
+    rng = np.random.default_rng(8)
+    rows = [(1, i, "assistant" if i % 2 else "user", "x" * 584) for i in range(8)]
+    rows += [(c, i, "system" if c % 3 == 0 and i == 0 else "assistant" if i % 2 else "user", "y" * int(rng.integers(0, 700))) for c in range(2, 40) for i in range(40)]
+    rows += [(40, i, "user", "z" * int(rng.integers(0, 2000))) for i in range(700)]  # over several blocks
+    read = chat.read_windows(chat.format_windows(conversations(spark, rows), budget=256, history=64)).collect()
+    for w in read:
+        sizes = [size_of(t.text) for t in w.turns]
+        own = [s for s, t in zip(sizes, w.turns) if not t.repeated and t.role != "system"]
+        head = sum(s for s, t in zip(sizes, w.turns) if t.role == "system")
+        assert sum(sizes) <= 256 or len(own) == 1 and len(w.turns) == 1 + (head > 0) and own[0] + head > 256
+    for conv in (1, 3, 10, 40):
+        turns = [(r[2], r[3]) for r in rows if r[0] == conv]
+        got = sorted((w for w in read if w.conv_id == conv), key=lambda w: w.window)
+        assert [[(t.role, t.text, t.repeated) for t in w.turns] for w in got] == greedy_windows(turns, 256, 64)
 
 
 def test_chat_of_nothing(spark):
