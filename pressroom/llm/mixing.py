@@ -7,8 +7,7 @@ documents. A rate over 500 is split into equal parts, each with a hashed point o
 
 A null source is a source of its own (weight under None). A document without doc_id is drawn by the hash of an empty id. Repeated
 rows are drawn alike. A source with weight 0, or not named in explicit weights, has rate 0. An empty table gives an empty mix.
-Names that clash with the added columns (copy, position) are replaced by them. Rates of any size are drawn, but ``mix`` rejects explicit
-weights that ask for a mean of over 500 copies per document.
+Names that clash with the added columns (copy, position) are replaced by them. Rates of any size are drawn, from equal shares or given weights.
 """
 
 from __future__ import annotations
@@ -125,8 +124,4 @@ def numbered(copies: DataFrame, seed: str = "mix") -> DataFrame:
 
 def mix(docs: DataFrame, by: str = "source", size: Column | None = None, weights: Mapping[str | None, float] | None = None, seed: str = "mix") -> DataFrame:
     """Documents mixed to the target weights and shuffled: their columns, ``copy`` and ``position``."""
-    rates = source_rates(docs, by, size, weights)
-    if weights is not None:
-        too_many = F.raise_error(F.lit(f"a mean of over {PART} copies per document"))
-        rates = rates.withColumn("rate", F.when(F.col("rate") > PART, too_many).otherwise(F.col("rate")))
-    return numbered(replicate(docs, rates, seed, by), seed)
+    return numbered(replicate(docs, source_rates(docs, by, size, weights), seed, by), seed)
