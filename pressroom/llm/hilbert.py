@@ -4,7 +4,8 @@ Each dimension is cut into 2^bits cells at its quantiles over all rows, the cell
 rows in the order of the curve are cut into runs of equal count. Rows of a shard are then near each other in every
 dimension, and a filter on any of them skips most shards by their minimum and maximum (``shard_ranges``).
 
-Text dimensions are cut by their first seven bytes, in order. A null lies in the first cell. Equal cells are ordered by the
+Text and binary dimensions are cut at whole values, by running counts over their distinct values in order, so values that begin alike get
+cells of their own. A null lies in the first cell. Equal cells are ordered by the
 tie columns, so repeated rows sit side by side. A hot value is just a long run of the curve and is cut like any other. An empty
 table gives no rows. Clashing names (curve, shard, slot) are replaced.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressroom.llm.ordering import with_positions
+from pressroom.operators.running import balanced_buckets, running
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -46,27 +48,42 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType))
+
+
 def _number(df: DataFrame, name: str) -> Column:
     """The dimension as a number in the same order."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.conv(F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("double")
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(name).cast("timestamp").cast("double")
     return F.col(name).cast("double")
 
 
+def _text_cuts(df: DataFrame, name: str, cells: int) -> list[bytes]:
+    """The values at which the quantiles of a text lie, at most one a cell, from counts of all distinct values."""
+    distinct = df.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("binary").alias("value")).agg(F.count("*").alias("n"))
+    total = F.sum("n").alias("total")
+    counted = running(balanced_buckets(distinct, [], ["value"]), [], ["_bucket"], ["value"], {"upto": ("sum", F.col("n"))})
+    # a value is a cut where the rows up to it reach another part of the whole
+    part = lambda rows: F.ceil(rows * cells / F.col("total"))
+    cuts = counted.crossJoin(F.broadcast(distinct.agg(total))).where(part(F.col("upto")) > part(F.col("upto") - F.col("n")))  # one row of totals
+    return sorted(bytes(r["value"]) for r in cuts.select("value").collect())  # at most ``cells`` rows
+
+
 def quantise(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column]:
-    """Cell numbers of each dimension, cut at quantiles over all rows; at most 2^bits - 1 cuts each go through the driver."""
+    """Cell numbers of each dimension, cut at quantiles over all rows; at most 2^bits cuts each go through the driver."""
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    numbers = [_number(df, d) for d in dimensions]
-    cuts = df.agg(*[F.percentile_approx(x, shares, 10_000).alias(f"c{i}") for i, x in enumerate(numbers)]).first()
+    numbers = [d for d in dimensions if not _is_text(df, d)]
+    found = df.agg(F.lit(0), *[F.percentile_approx(_number(df, d), shares, 10_000).alias(d) for d in numbers]).first()
 
-    def cell(x: Column, own: list[float] | None) -> Column:
-        steps = F.array(*[F.lit(float(c)) for c in sorted(set(own or []))]).cast("array<double>")
-        return F.when(x.isNull(), 0).otherwise(F.size(F.filter(steps, lambda c: c <= x))).cast("int")
+    def cell(d: str) -> Column:
+        if _is_text(df, d):
+            x, kind, cuts = F.col(d).cast("binary"), "array<binary>", [F.lit(c) for c in _text_cuts(df, d, 1 << bits)[1:]]
+        else:
+            x, kind, cuts = _number(df, d), "array<double>", [F.lit(float(c)) for c in sorted(set(found[d] or []))]
+        return F.when(x.isNull(), 0).otherwise(F.size(F.filter(F.array(*cuts).cast(kind), lambda c: c <= x))).cast("int")
 
-    return [cell(x, own) for x, own in zip(numbers, cuts, strict=True)]
+    return [cell(d) for d in dimensions]
 
 
 def hilbert_shards(
