@@ -189,6 +189,37 @@ def test_contaminated_documents(spark):
     assert decontaminate.contaminated(docs, benchmark.where("false")).count() == 0
 
 
+def test_contamination_at_the_threshold(spark, monkeypatch):
+    """Words put in after every second one, short items inside long documents, common pairs, repeated words, an id with two texts."""
+    rng = np.random.default_rng(12)
+    draw = lambda n, of=60: [f"w{rng.integers(of)}" for _ in range(n)]
+    items = [draw(40, 5000), ["to", "be"], ["solo"], draw(5, 5000), draw(6, 5000), ["the", "of"] * 8, *[draw(int(n)) for n in rng.integers(1, 25, 30)]]
+
+    def noisy(item, every, what):
+        out = []
+        for i, w in enumerate(item):
+            out += [w] if what == "in" or (i + 1) % every else [] if what == "out" else ["x"]
+            out += ["x"] if what == "in" and (i + 1) % every == 0 else []
+        return out
+
+    texts = [[*draw(30), *noisy(x, every, what), *draw(30)] for x in items for every in (1, 2, 3, 4) for what in ("in", "out", "other")]
+    texts += [draw(int(n)) for n in rng.integers(1, 400, 60)] + [["a", "to", "be"] * 50, ["the"] * 300, ["of", "the"] * 100, [*draw(3000), "solo"]]
+    benchmark = spark.createDataFrame([(i // 2 if i > 30 else i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    docs = docs_of(spark, [" ".join(t) for t in texts])
+    brute = {}
+    for d, t in enumerate(texts):
+        for i, x in enumerate(items):
+            score = brute_alignment([v.encode() for v in t], [v.encode() for v in x])
+            if score >= 0.6 * 2 * len(x) - 1e-9:
+                key = d, i // 2 if i > 30 else i
+                brute[key] = max(brute.get(key, 0), score / (2 * len(x)))
+    assert (3, 0) in brute and (len(texts) - 1, 2) in brute
+    for places in (1_000_000, 50):  # all items at once, and in blocks
+        monkeypatch.setattr(decontaminate, "PLACES", places)
+        got = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.contaminated(docs, benchmark).collect()}
+        assert got.keys() == brute.keys() and all(abs(got[k] - brute[k]) < 1e-9 for k in got)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = np.random.default_rng(0)
     plain = lambda n: [f"w{rng.integers(400)}" for _ in range(n)]
