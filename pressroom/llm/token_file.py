@@ -93,8 +93,11 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return ids
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1) -> None:
-    """Encode ``text`` of every row and write the ids to ``path`` in order of doc_id; ``tokenizer`` is a file's path."""
+def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1, at_once: int = 4 << 20) -> None:
+    """Encode ``text`` of every row and write the ids to ``path`` in order of doc_id; ``tokenizer`` is a file's path.
+
+    About ``at_once`` bytes of whole texts are encoded at a time: more of them take less time and more memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -116,7 +119,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", at_once):
                 ids, at = encoder(tokenizer).encode(piece.column("text"))
                 if end_id is not None:
                     ids = np.insert(ids, at[1:], end_id)
