@@ -13,8 +13,8 @@ document. Counts cover all training documents.
 
 The base score is that of a unigram model of words with add-0.1 smoothing, counted in the same exchange.
 
-A null or blank text is an end sign alone. A null doc_id counts as training. Repeated rows are scored alike and counted each. Without
-training documents all symbols are alike. An empty table gives no rows.
+A null or blank text is an end sign alone. Rows whose mark is null, as with a null doc_id, are scored but not learned from. Repeated rows are scored
+alike and counted each. Without training documents all symbols are alike. An empty table gives no rows.
 """
 
 from __future__ import annotations
