@@ -1,7 +1,9 @@
 """Stored objects, one file each: gzip pages, JSON sidecars and the like, read and written by Spark as the source ``stored_objects``.
 
-Reading lists the folder once, with sizes, and packs neighbouring objects into partitions of about ``partition_bytes`` (an object counts
-``open_bytes`` more than its size), so a million small files are not a million tasks. A task streams each object through gunzip and sha256 a
+Reading lists the folder with sizes and packs neighbouring objects into partitions of about ``partition_bytes`` (an object counts
+``open_bytes`` more than its size), so a million small files are not a million tasks. Up to ``LISTED`` objects are named one by one. Of more
+the driver keeps no names: it adds up costs over ``SLOTS`` hash slots of a folder at a time, and a task gets runs of slots, lists their folders again and takes
+what falls into them. A folder is listed some ``PASSES`` times at most, more often only if it is small. A task streams each object through gunzip and sha256 a
 piece at a time: unless its text is asked for, an object of any size takes one buffer of memory. A condition on the beginning of
 ``key`` (``=``, ``startswith``) chooses the folder to list and the objects to open.
 
@@ -16,10 +18,12 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import os
 import uuid
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +33,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 PIECE = 1 << 20
 #: Rows and characters of text that a task gathers before it hands them on.
 ROWS, TEXT = 1000, 8 << 20
+#: Objects that the driver names; hash slots of a larger folder, and how often tasks list it: up to PASSES times, or until ENTRIES were seen.
+LISTED, SLOTS, PASSES, ENTRIES = 100_000, 4096, 32, 1 << 22
 SCHEMA = "key string, modified_at timestamp, stored_bytes bigint, size_bytes bigint, content_hash string, readable boolean, text string"
 
 
@@ -42,6 +48,24 @@ def open_store(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+def entries(store, folder: str) -> Iterator[tuple[str, str, bool, bool, Callable[[], tuple[int, int | None]]]]:
+    """(path, name, is a folder, is a file, a function for bytes and microseconds since 1970) of what lies in a folder; of a local one without holding the list."""
+    from pyarrow import fs
+
+    if not isinstance(store, fs.LocalFileSystem):
+        for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            facts = info.size or 0, info.mtime_ns // 1000 if info.mtime_ns is not None else None
+            yield info.path, info.base_name, info.type == fs.FileType.Directory, info.is_file, lambda facts=facts: facts
+        return
+    try:
+        found = os.scandir(folder)
+    except FileNotFoundError:
+        return
+    with found:
+        for entry in found:
+            yield entry.path, entry.name, entry.is_dir(), entry.is_file(), lambda entry=entry: ((s := entry.stat()).st_size, s.st_mtime_ns // 1000)
+
+
 class Content:
     """Size, sha256 and, if asked for, text of an object that comes in pieces; ``readable`` is false if it is damaged."""
 
@@ -84,6 +108,7 @@ class Content:
 @dataclass
 class Objects(InputPartition):
     files: list[tuple[str, str, int, int | None]]  # path, key, stored bytes, microseconds since 1970
+    runs: list[tuple[str, int, int]] = field(default_factory=list)  # folder, first slot and the one after the last: listed by the task
 
 
 class ObjectReader(DataSourceReader):
@@ -103,28 +128,42 @@ class ObjectReader(DataSourceReader):
                     self.exact = f.value
             yield f  # Spark applies it again
 
-    def _listed(self) -> list:
-        from pyarrow import fs
-
-        store, base = open_store(self.root)
-        base = base.rstrip("/")
+    def _folders(self) -> Iterator[str]:
+        """Folders below the root that can hold wanted keys, as keys; a folder before those in it."""
         # of a prefix the whole folders are known
         deepest = self.prefix.rpartition("/")[0]
         if self.folder and not f"{deepest}/".startswith(f"{self.folder}/"):
             deepest = self.folder
-        found = store.get_file_info(fs.FileSelector(f"{base}/{deepest}".rstrip("/"), recursive=True, allow_not_found=True))
-        out = []
-        for info in found:
-            key = info.path[len(base) + 1 :]
-            inside = not self.folder or key.startswith(f"{self.folder}/")
-            if info.is_file and inside and key.endswith(self.suffix) and key.startswith(self.prefix) and self.exact in (None, key) and not _hidden(key):
-                out.append((info.path, key, info.size or 0, info.mtime_ns // 1000 if info.mtime_ns is not None else None))
-        return sorted(out)
+        store, base = open_store(self.root)
+        waiting = [deepest]
+        while waiting:
+            folder = waiting.pop()
+            yield folder
+            within = (f"{folder}/{e[1]}".lstrip("/") for e in entries(store, f"{base.rstrip('/')}/{folder}".rstrip("/") or "/") if e[2])
+            waiting.extend(key for key in within if not _hidden(key) and f"{key}/".startswith(self.prefix[: len(key) + 1]))
+
+    def _files(self, folder: str, first: int = 0, end: int = SLOTS) -> Iterator[tuple[str, str, int, int | None]]:
+        """Wanted objects of a folder, without those of folders in it; only those of some slots are looked at."""
+        store, base = open_store(self.root)
+        inside = not self.folder or f"{folder}/".startswith(f"{self.folder}/")
+        for path, name, _, is_file, facts in entries(store, f"{base.rstrip('/')}/{folder}".rstrip("/") or "/"):
+            key = f"{folder}/{name}".lstrip("/")
+            if is_file and inside and key.endswith(self.suffix) and key.startswith(self.prefix) and self.exact in (None, key) and not _hidden(key):
+                if end - first < SLOTS and not first <= _slot(key) < end:
+                    continue
+                try:
+                    yield path, key, *facts()
+                except FileNotFoundError:  # went since
+                    continue
 
     def partitions(self) -> list[Objects]:
+        listed = list(islice(chain.from_iterable(map(self._files, self._folders())), LISTED + 1))
+        if len(listed) > LISTED:
+            del listed
+            return self._cut()
         packed: list[Objects] = []
         size = self.limit
-        for file in self._listed():
+        for file in sorted(listed):
             cost = file[2] + self.cost
             if size + cost > self.limit and size:
                 packed.append(Objects([]))
@@ -133,11 +172,34 @@ class ObjectReader(DataSourceReader):
             size += cost
         return packed or [Objects([])]
 
+    def _cut(self) -> list[Objects]:
+        """Partitions of slots, not of named objects; small neighbouring folders share one."""
+        packed: list[Objects] = []
+        size = 0
+        for folder in self._folders():
+            costs, n = [0] * SLOTS, 0
+            for _, key, stored, _ in self._files(folder):
+                costs[_slot(key)] += stored + self.cost
+                n += 1
+            limit = max(self.limit, sum(costs) // max(PASSES, ENTRIES // max(n, 1)))
+            first = None
+            for slot, cost in enumerate(costs):
+                if cost and (not packed or size and size + cost > limit):
+                    if first is not None:
+                        packed[-1].runs.append((folder, first, slot))
+                    packed.append(Objects([]))
+                    first, size = None, 0
+                if cost:
+                    first, size = slot if first is None else first, size + cost
+            if first is not None:
+                packed[-1].runs.append((folder, first, SLOTS))
+        return packed or [Objects([])]
+
     def read(self, partition: Objects) -> Iterator[pa.RecordBatch]:
         store, _ = open_store(self.root)
         rows: list[tuple] = []
         size = 0
-        for path, key, stored, modified in partition.files:
+        for path, key, stored, modified in chain(partition.files, *(self._files(*run) for run in partition.runs)):
             content = Content(key.endswith(".gz"), self.keep)
             try:
                 with store.open_input_stream(path, compression=None) as stream:
@@ -155,6 +217,10 @@ class ObjectReader(DataSourceReader):
             yield _batch(rows)
 
 
+def _slot(key: str) -> int:
+    return zlib.crc32(key.encode("utf-8", "surrogateescape")) % SLOTS
+
+
 def _hidden(key: str) -> bool:
     return any(part.startswith((".", "_")) for part in key.split("/"))
 

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import os
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +89,30 @@ def test_writing_twice(spark, tmp_path):
     assert facts(objects.read_objects(spark, root))["d/b.html.gz"] == (0, hashlib.sha256(b"").hexdigest(), True)
     objects.write_objects(df.withColumn("body", F.encode("body", "utf-16")), root)
     assert gzip.decompress((tmp_path / "out/d/a.html.gz").read_bytes()).decode("utf-16") == "é" * 10
+
+
+def test_many_objects_are_not_named_by_the_driver(root, tmp_path, monkeypatch):
+    for i in range(3000):
+        path = tmp_path / f"many/{i % 2}/{i}.json"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"{}" * (i % 7))
+    (tmp_path / "many/1/.hidden").mkdir()
+    (tmp_path / "many/1/.hidden/3.json").write_bytes(b"{}")
+    options = {"path": str(tmp_path), "suffix": ".json", "partition_bytes": "50000", "open_bytes": "1000"}
+    rows = lambda reader, parts: [row for p in parts for b in reader.read(p) for row in b.to_pylist()]
+    reader = objects.ObjectReader(options)
+    named = rows(reader, reader.partitions())
+    for limits in ({}, {"PASSES": 4, "ENTRIES": 1}):
+        for name, value in ({"LISTED": 100} | limits).items():
+            monkeypatch.setattr(objects, name, value)
+        parts = reader.partitions()
+        assert not any(p.files for p in parts) and len(pickle.dumps(parts)) < 20_000
+        assert sorted(rows(reader, parts), key=lambda r: r["key"]) == sorted(named, key=lambda r: r["key"])
+        shares = [len(rows(reader, [p])) for p in parts]
+        assert len(shares) <= 10 if limits else len(shares) > 50 and max(shares) <= 50
+    # what folders and conditions leave out is left out here too
+    day = objects.ObjectReader({"path": root})
+    monkeypatch.setattr(objects, "LISTED", 0)
+    assert sorted(r["key"] for r in rows(day, day.partitions())) == sorted(WANT)
+    list(day.pushFilters([objects.StringStartsWith(("key",), "raw/a/2024/01/01/o")]))
+    assert [r["key"] for r in rows(day, day.partitions())] == ["raw/a/2024/01/01/one.html.gz"]
