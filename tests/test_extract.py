@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,20 @@ def test_custom_parser(spark):
     pages = spark.createDataFrame([("u1", "a"), ("u2", "b")], "url string, html string")
     got = extract.custom_articles(pages, parser).orderBy("url").collect()
     assert [(r.url, r.title, r.quality_flags) for r in got] == [("u1", "A", ["custom"]), ("u2", "B", ["custom"])]
+
+
+def test_pages_are_taken_apart_a_piece_at_a_time(spark):
+    page = "<html><body>" + "<p class=x>some text</p>" * 200 + "</body></html>"
+    pages = [None, "", page, "<p>" + "y" * (2 * dom.PIECE), page, None, *[page] * 300, ""]
+    pieces = list(dom._tokenized(iter([pa.array(pages), pa.array([], pa.string()), pa.array([page])])))
+    assert sum(map(len, pieces)) == len(pages) + 1
+    nodes = [len(p.field("nodes").flatten()) for p in pieces]
+    assert len(nodes) > 5 and max(nodes) <= dom.PIECE // 10
+    assert pa.concat_arrays(pieces[:-1]).to_pylist() == dom._tokenize(pa.array(pages)).to_pylist()
+    # what goes to a task's Python at once is bounded in bytes, and rows still get their own page
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    found = spark.createDataFrame(list(enumerate(pages)), "i int, html string").repartition(2).select("i", dom.parse_page("html").alias("page"))
+    assert int(spark.conf.get(name)) <= 4 << 20
+    counted = {r.i: r.n for r in found.where("page is not null").select("i", F.size("page.nodes").alias("n")).collect()}
+    assert counted == {i: len(dom._tokenize(pa.array([p]))[0].as_py()["nodes"]) for i, p in enumerate(pages) if p is not None}
