@@ -129,3 +129,10 @@ def test_first_body_of_nulls_and_copies(spark):
     rows = [("a", 2, "late"), ("a", 1, "first"), ("a", 1, "first"), (None, 5, "x"), (None, None, "y"), ("b", None, "z")]
     df = spark.createDataFrame(rows, "k string, t int, body string").repartition(3)
     assert sorted((r.k or "", r.body) for r in dedupe.first_bodies(df, ["k"], ["t"]).collect()) == [("", "y"), ("a", "first"), ("b", "z")]
+
+
+def test_collection_discovers_once(spark):
+    from suite.articles import _collection
+
+    articles, stats = jobs.collect_news(*_collection(spark, SF))
+    assert "Python" not in plan(stats) and "Python" not in plan(articles)
