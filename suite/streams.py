@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pressroom.functions import urls as U
 from pressroom.operators import discover
 from pressroom.schemas import RAWDATA
+from pressroom.session import plan_bytes
 from pressroom.sources import rawdata
 from pressroom.streaming import jobs
 from suite import query
 from suite.discovery import _LISTED, _listing_sources, _listings
 from suite.lookups import _rawdata
 from suite.storage import work_dir
-from suite.views import LOG, crawl_log
+from suite.views import LOG, crawl_log, pages
 
 LOG_SCHEMA = "id bigint, source_id bigint, url string, status string, fetched_at timestamp"
 
@@ -30,14 +31,21 @@ def _landed_log(spark, sf_dir, folder: str, schema: str, rows) -> str:
     return path
 
 
+def _landing_files(size: int) -> tuple[int, int]:
+    """Files of some 16 MB as stored for a landing of ``size`` bytes, and how many make a batch: enough to keep a cluster busy, and bounded."""
+    files = max(4, size >> 24)
+    return files, min(files // 2, 48)
+
+
 @query("r1_stream_discover", f"with {_LISTED} select source_name, url from u")
 def stream_discover(spark, sf_dir):
     """Listing pages arrive in files; each batch adds the article URLs that are new."""
     folder = work_dir(spark)
     listings = _listings(spark, sf_dir)
-    listings.repartitionByRange(4, "listing_pos").write.parquet(f"{folder}/landing")
+    files, at_once = _landing_files(plan_bytes(pages(spark, sf_dir)))
+    listings.repartitionByRange(files, "listing_pos").write.parquet(f"{folder}/landing")
     sources = _listing_sources(spark)
-    landing = jobs.landing_stream(spark, f"{folder}/landing", listings.schema.simpleString()[7:-1].replace(":", " "), files_per_trigger=2)
+    landing = jobs.landing_stream(spark, f"{folder}/landing", listings.schema.simpleString()[7:-1].replace(":", " "), files_per_trigger=at_once)
     find = lambda batch: discover.discover_listing(batch, sources)
     _run(jobs.stream_discover(landing, find, f"{folder}/links", f"{folder}/checkpoint"))
     links = jobs.link_stream(spark, landing, find, f"{folder}/links", files_per_trigger=8)

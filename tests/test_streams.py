@@ -122,3 +122,10 @@ def test_a_stream_that_never_had_a_row(spark, folder):
     empty = spark.readStream.schema(SCHEMA).parquet(f"{folder}/landing")
     jobs.stream_dedupe(empty, f"{folder}/urls", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     assert first_sightings(empty).isStreaming
+
+
+def test_landing_has_more_files_the_larger_it_is():
+    from suite.streams import _landing_files
+
+    assert _landing_files(0) == _landing_files(60 << 20) == (4, 2)
+    assert _landing_files(1 << 30) == (64, 32) and _landing_files(10 << 30) == (640, 48)
