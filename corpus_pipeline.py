@@ -56,7 +56,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """doc_id, start, n_tokens and ids_crc32 of every document, as read back from the token file."""
     small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-ids-{uuid.uuid4().hex}"
-    write_ids(docs, path, tokenizer_path(DEFAULT_TOKENIZER), end_id=1, at_once=1 << 20)
+    write_ids(docs, path, tokenizer_path(DEFAULT_TOKENIZER), end_id=1, at_once=1 << 18)
     return read_ids(spark, path)
 
 

@@ -13,11 +13,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-from pressroom.llm.words import MEMORIES, span_hashes, split_words
+from pressroom.llm.words import MEMORIES, span_hashes, split_words, trim
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
-#: Words that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+#: Words that a worker remembers, and their ids on average; beyond it the memory starts anew.
+REMEMBERED, IDS_A_WORD = 600_000, 8
+#: Words that go to the library at once: each comes back as an object of about a kilobyte.
+ASKED = 1_000
 _PLAIN = re.compile(rb"[a-z]+")
 _STOP = np.isin(np.arange(256), [0x2C, 0x2E])
 _ALNUM = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
@@ -31,28 +33,53 @@ def tokenizer_path(name: str) -> str:
 
 @dataclass
 class WordEncoder:
-    """Ids of the tokenizer file ``path``: BPE on lower-cased words, no white space in any token."""
+    """Ids of the tokenizer file ``path``: BPE on lower-cased words, no white space in any token.
+
+    Known words are rows of arrays, about 30 bytes each: as objects of their own in a dictionary they take several times that.
+    """
 
     path: str
-    known: dict[int, bytes] = field(default_factory=dict)
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # of the known words, ascending
+    first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # where the ids of each begin in ``flat``
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    flat: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
     tokenizer: object = None
 
-    def learn(self, hashes: list[int], words: list[bytes]) -> None:
+    def forget(self) -> None:
+        self.hashes, self.first, self.sizes, self.flat = self.hashes[:0].copy(), self.first[:0].copy(), self.sizes[:0].copy(), self.flat[:0].copy()
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes are of no known word."""
+        if not len(self.hashes):
+            return np.arange(len(hashes))
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.flatnonzero(self.hashes[place] != hashes)
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Add words by their hashes, which ascend and are not known yet."""
         if self.tokenizer is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_file(self.path)
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
+            trim()  # what reading the file took
+        got: list[list[int]] = [[] for _ in words]
         others = []
-        for h, word in zip(hashes, words, strict=True):
+        for i, word in enumerate(words):
             if _PLAIN.fullmatch(word):  # normalising and splitting leave such a word as it is
-                self.known[h] = np.array([t.id for t in self.tokenizer.model.tokenize(word.decode())], np.uint32).tobytes()
+                got[i] = [t.id for t in self.tokenizer.model.tokenize(word.decode())]
             else:
-                others.append((h, word.decode()))
-        for (h, _), got in zip(others, self.tokenizer.encode_batch([w for _, w in others], add_special_tokens=False), strict=True):
-            self.known[h] = np.array(got.ids, np.uint32).tobytes()
+                others.append(i)
+        for a in range(0, len(others), ASKED):
+            some = others[a : a + ASKED]
+            for i, found in zip(some, self.tokenizer.encode_batch([words[i].decode() for i in some], add_special_tokens=False), strict=True):
+                got[i] = found.ids
+        sizes = np.fromiter(map(len, got), np.int32, len(got))
+        flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(sizes.sum()))
+        place = np.searchsorted(self.hashes, hashes)
+        self.first = np.insert(self.first, place, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.hashes, self.sizes = np.insert(self.hashes, place, hashes), np.insert(self.sizes, place, sizes)
+        self.flat = np.concatenate([self.flat, flat])
 
     def encode(self, column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the bounds of each text; a null text has none."""
@@ -70,20 +97,17 @@ class WordEncoder:
         s[place], e[place] = start, np.where(tailed, body, end)
         s[place[tailed] + 1], e[place[tailed] + 1] = body[tailed], end[tailed]
         distinct, at, inverse = np.unique(span_hashes(words.data, s, e, fold), return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = range(len(keys))
+        new = self.missing(distinct)
+        if len(self.hashes) + len(new) > REMEMBERED or len(self.flat) > IDS_A_WORD * REMEMBERED:
+            self.forget()
+            new = np.arange(len(distinct))
+        if len(new):
             spelled = [words.data[s[at[i]] : e[at[i]]].tobytes() for i in new]
-            self.learn([keys[i] for i in new], [w.lower() if fold else w for w in spelled])
-        got = [self.known[h] for h in keys]
-        size = np.array([len(x) for x in got], np.int64) // 4
-        flat, first = np.frombuffer(b"".join(got), np.uint32), np.concatenate([[0], np.cumsum(size)[:-1]])
-        lengths = size[inverse]
+            self.learn(distinct[new], [w.lower() if fold else w for w in spelled])
+        known = np.searchsorted(self.hashes, distinct)
+        lengths = self.sizes[known][inverse]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = flat[np.repeat(first[inverse] - ends[:-1], lengths) + np.arange(ends[-1])]
+        ids = self.flat[np.repeat(self.first[known][inverse] - ends[:-1], lengths) + np.arange(ends[-1])]
         spans_of_text = np.append(place, len(s))[of_text]
         return ids, ends[spans_of_text]
 

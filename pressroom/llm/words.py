@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 U64 = np.uint64
 #: Bytes hashed at once: bounds the scratch memory of a task whatever the length of the texts (a single longer word aside).
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 

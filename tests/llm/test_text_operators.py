@@ -1,7 +1,9 @@
 """Token files, lengths, near duplicates, decontamination, toxicity and language-model scores against brute force."""
 
+import gc
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -45,6 +47,23 @@ def test_encoder_equals_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [e.ids for e in library]
 
 
+def test_encoder_remembers_words_in_little_memory(monkeypatch):
+    texts = [" ".join(f"w{i * 7919 % 100_003}x" for i in range(a, a + 1000)) for a in range(0, 40_000, 1000)]
+    monkeypatch.setattr(tokens, "REMEMBERED", 700)
+    forgetful = [tokens.WordEncoder(PATH).encode(pa.array([t]))[0].tolist() for t in texts[:3]]
+    monkeypatch.undo()
+    encoder = tokens.WordEncoder(PATH)
+    encoder.encode(pa.array(["a"]))
+    tracemalloc.start()
+    try:
+        got = [encoder.encode(pa.array([t]))[0].tolist() if i < 3 else len(encoder.encode(pa.array([t]))[0]) for i, t in enumerate(texts)]
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert got[:3] == forgetful and held < 80 * 40_000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 2**32 - 1), st.integers(0, 40000), st.just(0)), max_size=300), min_size=1, max_size=5))
 def test_pack_round_trip(documents):
