@@ -143,6 +143,23 @@ def test_lexical_search(spark, monkeypatch, first):
             assert [i for i, _ in got] == [i for _, i in want] and [s for _, s in got] == pytest.approx([-s for s, _ in want], abs=2e-6)
 
 
+def test_texts_are_split_once(spark, monkeypatch):
+    plans, write = [], lexical.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(lexical, "materialize", seen)
+    articles = spark.createDataFrame([(1, "a b a"), (1, "b"), (2, None), (None, " "), (3, "c " * 9)], "id long, content string")
+    queries = spark.createDataFrame([(7, "a c z")], "query_id long, query string")
+    index = lexical.lexical_index(articles, queries, article_id="id")
+    assert sum(p.count("regexp_replace(content") for p in plans) == 1
+    n, mean = 5, (3 + 1 + 0 + 0 + 9) / 5
+    got = {(r.term, r.id): r.part for r in index.postings.where("term = 'c'").collect()}
+    assert got == {("c", 3): pytest.approx(math.log1p((n - 1 + 0.5) / 1.5) * 9 * 2.2 / (9 + 1.2 * (0.25 + 0.75 * 9 / mean)))}
+
+
 def test_words_of_every_article_bring_few_candidates(spark):
     rows = corpus(2000)
     index = indexed(spark, rows)
