@@ -148,8 +148,9 @@ def near_links(articles: DataFrame, article_id: str = "article_id", text: Column
             yield pa.RecordBatch.from_arrays([ids, _lists(np.concatenate(sets), [len(x) for x in sets])], ["id", "shingles"])
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        rows = texts.join(bounded_broadcast(ids), "id", "left_semi")
-        return materialize(rows.mapInArrow(shingled, f"id {kind}, shingles array<bigint>").dropDuplicates(["id"]))
+        # repeated ids go while rows are texts, which pack well; sets of hashes do not
+        rows = texts.join(bounded_broadcast(ids), "id", "left_semi").where(F.col("text").rlike(r"[^ \x09-\x0D]")).dropDuplicates(["id"])
+        return materialize(rows.mapInArrow(shingled, f"id {kind}, shingles array<bigint>"))
 
     def verified(pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         pairs = materialize(pairs)
