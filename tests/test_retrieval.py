@@ -160,6 +160,68 @@ def test_texts_are_split_once(spark, monkeypatch):
     assert got == {("c", 3): pytest.approx(math.log1p((n - 1 + 0.5) / 1.5) * 9 * 2.2 / (9 + 1.2 * (0.25 + 0.75 * 9 / mean)))}
 
 
+def test_search_writes_and_shuffles_no_postings(spark, monkeypatch):
+    """Scoring is done where the articles lie: nothing that is written or shuffled has a row a posting, or a row a query and article."""
+    sizes, write = [], lexical.materialize
+
+    def seen(df):
+        done = write(df)
+        sizes.append(done.count())
+        return done
+
+    monkeypatch.setattr(lexical, "materialize", seen)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    articles = spark.createDataFrame([(i, " ".join(rng.sample(words, 30))) for i in range(400)], "article_id bigint, content string").repartition(3)
+    queries = spark.createDataFrame([(q, " ".join(rng.sample(words, 20))) for q in range(50)], "query_id bigint, query string")
+    index = lexical.lexical_index(articles, queries)
+    found = lexical.search_lexical(index, 5)
+    pairs = found.where("query_id < 3").select("query_id", F.col("article_id").alias("id"))
+    counts = lexical.better_counts(index, pairs)
+    assert index.postings.count() > 10_000 and max(sizes) <= 1_000  # 50 queries of 20 words
+    for df in (found, counts):
+        assert "hashpartitioning(term" not in df._jdf.queryExecution().toString()
+    ranks = {(r.query_id, r.article_id): r["rank"] for r in found.collect()}
+    assert {(r.query_id, r.id): r.better + 1 for r in counts.collect()} == {x: n for x, n in ranks.items() if x[0] < 3}
+
+
+def test_lexical_search_in_passes_and_pieces(spark, monkeypatch):
+    """Few words a pass and few scores a piece, as with many queries."""
+    monkeypatch.setattr(lexical, "ASKED", 3)
+    monkeypatch.setattr(lexical, "CELLS", 40)
+    index = indexed(spark)
+    found = results(lexical.search_lexical(index, 6))
+    for q, text in QUERIES:
+        assert [i for i, _ in found.get(q, [])] == [i for _, i in bm25(corpus(), text)[:6]]
+    pairs = [(q, i) for q in (1, 3, 7) for i in range(0, 304, 7)]
+    got = {(r.query_id, r.id): r.better for r in lexical.better_counts(index, spark.createDataFrame(pairs, "query_id bigint, id bigint")).collect()}
+    ranked = {q: [i for _, i in bm25(corpus(), dict(QUERIES)[q])] for q in (1, 3, 7)}
+    assert got == {(q, i): ranked[q].index(i) for q, i in pairs if i in ranked[q]}
+
+
+def test_repeated_articles_and_queries(spark):
+    """Rows of equal id are one article with the words of all and the length of one, and count for the average each; a repeated query counts its words again."""
+    texts = [(1, "a b c"), (1, "a b c"), (2, "a a d"), (3, "b d d d"), (None, "a b"), (None, "a c"), (4, None), (4, "")]
+    articles = spark.createDataFrame(texts, "article_id long, content string").repartition(3)
+    queries = spark.createDataFrame([(1, "a d"), (2, "b"), (2, "b c"), (None, "a")], "query_id long, query string")
+    index = lexical.lexical_index(articles, queries)
+    n, mean = 8, (3 + 3 + 3 + 4 + 2 + 2) / 8
+    tf = {1: {"a": 2, "b": 2, "c": 2}, 2: {"a": 2, "d": 1}, 3: {"b": 1, "d": 3}, None: {"a": 2, "b": 1, "c": 1}}
+    length = {1: 3, 2: 3, 3: 4, None: 2}
+
+    def part(w, i):
+        df = sum(w in x for x in tf.values())
+        return math.log1p((n - df + 0.5) / (df + 0.5)) * tf[i][w] * 2.2 / (tf[i][w] + 1.2 * (0.25 + 0.75 * length[i] / mean)) if w in tf[i] else 0
+
+    asked = {1: ["a", "d"], 2: ["b", "b", "c"]}
+    score = {(q, i): round(sum(part(w, i) for w in words), 6) for q, words in asked.items() for i in tf}
+    found = results(lexical.search_lexical(index, 3))
+    assert found == {q: [(i, pytest.approx(score[q, i], abs=2e-6)) for i in sorted((i for i in (1, 2, 3) if score[q, i]), key=lambda i: (-score[q, i], i))] for q in asked}
+    pairs = spark.createDataFrame([(q, i) for q in (1, 2, 9) for i in (1, 2, 3, 4)], "query_id long, id long")
+    got = {(r.query_id, r.id): r.better for r in lexical.better_counts(index, pairs).collect()}
+    assert got == {(q, i): sum(score[q, j] > s for j in tf) for (q, i), s in score.items() if s and i}
+
+
 def test_words_of_every_article_bring_few_candidates(spark):
     rows = corpus(2000)
     index = indexed(spark, rows)
