@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,42 @@ def test_exact_search_visits_few_lists_of_clustered_vectors(spark):
     assert results(found).keys() == {q for q, _ in rows[:40]}
 
 
+@pytest.mark.parametrize("length, copies", [(4, 1), (64, 1), (1024, 5)])
+def test_a_list_is_shuffled_once_for_some_thousand_queries(spark, length, copies):
+    """Of long vectors fewer queries go together."""
+    index = vectors.build_index(frame(spark, [(i, [1.0 + i] + [1.0] * (length - 1)) for i in range(20)]), lists=1)
+    one = F.array([F.lit(1.0)] * length)
+    asked = vectors._clean(spark.range(2_500).select(F.col("id").alias("query_id"), one.alias("embedding")), "query_id", "embedding", "query_id").withColumn("kth", F.lit(-2.0))
+
+    def work(own, queries):
+        return pa.table({"own": [own.num_rows], "asked": [queries.num_rows]})
+
+    met = vectors._meet(index, vectors._visits(index, asked, 1), work, "own bigint, asked bigint").agg(F.sum("own").alias("own"), F.sum("asked").alias("asked")).first()
+    assert (met.own, met.asked) == (20 * copies, 2_500)
+
+
+def test_few_pairs_shuffle_no_vectors(spark, monkeypatch):
+    plans, write = [], vectors.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    rows = clustered(200)
+    index = vectors.build_index(frame(spark, rows))
+    pairs = frame(spark, rows[:3], "query_id").withColumn("id", F.col("query_id") + 30)
+    monkeypatch.setattr(vectors, "materialize", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the vectors were many
+    try:
+        counts = vectors.better_counts(index, pairs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert not any("lists-" in p and "SortMergeJoin" in p for p in plans)
+    near = nearest(rows, rows[:3], 200)
+    assert {(r.query_id, r.id): r.better for r in counts.collect()} == {(q, q + 30): [i for i, _ in near[q]].index(q + 30) for q in near}
+
+
 def test_probes_reach_their_recall(spark):
     rows = clustered(groups=200, seed=5)
     queries = rows[::10]
