@@ -81,12 +81,34 @@ def test_a_list_is_shuffled_once_for_some_thousand_queries(spark, length, copies
     asked = vectors._clean(spark.range(2_500).select(F.col("id").alias("query_id"), one.alias("embedding")), "query_id", "embedding", "query_id").withColumn("kth", F.lit(-2.0))
 
     def work(own, queries):
-        return pa.table({"own": [own.num_rows], "asked": [queries.num_rows]})
+        return pa.table({"own": [own.num_rows], "asked": [queries.num_rows if own.num_rows else 0]})
 
-    met = vectors._meet(index, vectors._visits(index, asked, 1), work, "own bigint, asked bigint").agg(F.sum("own").alias("own"), F.sum("asked").alias("asked")).first()
+    met = vectors._meet(index, vectors._calls(index, asked, 1), work, "own bigint, asked bigint").agg(F.sum("own").alias("own"), F.sum("asked").alias("asked")).first()
     assert (met.own, met.asked) == (20 * copies, 2_500)
 
 
+def test_a_query_is_shuffled_once_for_lists_of_one_piece(spark, monkeypatch):
+    """What goes out is a row a query and piece, not a row a query and list; long lists are still cut."""
+    rows = clustered(900, groups=30) + [(7000 + i, [3.0] * 12) for i in range(300)]
+    index = vectors.build_index(frame(spark, rows), lists=30)
+    asked = vectors._clean(frame(spark, rows[:50], "query_id"), "query_id", "embedding", "query_id").withColumn("kth", F.lit(-2.0))
+    calls, visits = vectors._calls(index, asked, 4, beyond=True), vectors._visits(index, asked, 4, beyond=True)
+    assert visits.count() > 500 and calls.count() == 50
+    pairs = {(r.query_id, r.list) for r in visits.collect()}
+    assert {(r.query_id, x) for r in calls.collect() for x in r.lists} == pairs
+    monkeypatch.setattr(vectors, "PIECE", 100)
+    (lists,) = index.lists.values()
+    first, pieces = vectors._dealt(12, lists)
+    assert pieces.max() >= 3 and (pieces == -(-lists.sizes // 100)).all()
+    held = {}
+    for f, p, n in zip(first, pieces, lists.sizes):
+        for i in range(p):
+            held.setdefault(f + i, []).append(n / p)
+    assert sorted(held) == list(range(min(held), min(held) + len(held))) and all(sum(x) <= 100 for x in held.values())
+    assert 50 < vectors._calls(index, asked, 4, beyond=True).count() < len(pairs)
+    assert results(vectors.search_index(index, frame(spark, rows[:50], "query_id"), 5)).keys() == {i for i, _ in rows[:50]}
+
+
 def test_few_pairs_shuffle_no_vectors(spark, monkeypatch):
     plans, write = [], vectors.materialize
 
