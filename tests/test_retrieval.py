@@ -93,7 +93,8 @@ def test_a_query_is_shuffled_once_for_lists_of_one_piece(spark, monkeypatch):
     index = vectors.build_index(frame(spark, rows), lists=30)
     asked = vectors._clean(frame(spark, rows[:50], "query_id"), "query_id", "embedding", "query_id").withColumn("kth", F.lit(-2.0))
     calls, visits = vectors._calls(index, asked, 4, beyond=True), vectors._visits(index, asked, 4, beyond=True)
-    assert visits.count() > 500 and calls.count() == 50
+    first, _ = vectors._dealt(12, *index.lists.values())
+    assert visits.count() > 500 and len(set(first)) < 6 and calls.count() <= 50 * len(set(first))
     pairs = {(r.query_id, r.list) for r in visits.collect()}
     assert {(r.query_id, x) for r in calls.collect() for x in r.lists} == pairs
     monkeypatch.setattr(vectors, "PIECE", 100)
@@ -109,6 +110,14 @@ def test_a_query_is_shuffled_once_for_lists_of_one_piece(spark, monkeypatch):
     assert results(vectors.search_index(index, frame(spark, rows[:50], "query_id"), 5)).keys() == {i for i, _ in rows[:50]}
 
 
+@pytest.mark.parametrize("count, length, room", [(300, 64, 512), (65_536, 64, 1024), (6_000_000, 64, 8192), (6_000_000, 1024, 512), (6_000_000, 1 << 20, 1)])
+def test_pieces_grow_with_the_vectors(count, length, room):
+    """Few vectors still go to many tasks, many long ones do not fill a task's memory."""
+    sizes = np.full(10, count // 10)
+    first, pieces = vectors._dealt(length, vectors.Lists(np.arange(10), np.zeros((10, 1)), np.zeros(10), sizes))
+    assert (pieces == -(-sizes // room)).all() and (np.diff(first) <= pieces[:-1]).all()
+
+
 def test_few_pairs_shuffle_no_vectors(spark, monkeypatch):
     plans, write = [], vectors.materialize
 
